@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +46,15 @@ class Stage:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def cut_all(self, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        """Cut tables that do not depend on each other, as concurrent Spark jobs."""
+        with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
+            jobs = {
+                name: pool.submit(inheritable_thread_target(self.spark)(self.cut), df, name)
+                for name, df in tables.items()
+            }
+            return {name: job.result() for name, job in jobs.items()}
+
 
 def publish(
     tables: Mapping[str, DataFrame], root: str, run_id: str | None = None
