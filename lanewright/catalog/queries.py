@@ -46,9 +46,13 @@ class Inputs:
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
+        """Called once per name; the DataFrame then stays as an attribute."""
         if name.startswith("raw_"):
-            return raw(self.spark, self.sf_dir, name[4:])
-        return view(self.spark, self.sf_dir, name)
+            df = raw(self.spark, self.sf_dir, name[4:])
+        else:
+            df = view(self.spark, self.sf_dir, name)
+        setattr(self, name, df)
+        return df
 
     def model(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in MODEL_TABLES}

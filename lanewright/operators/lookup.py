@@ -33,6 +33,16 @@ def lookup(
     return df.join(narrow, condition, how).drop(*[f"__l_{i}" for i in range(len(on))])
 
 
+def if_few(dimension: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """Mark a dimension for broadcast if a count proves it small, else leave it.
+
+    For lookups on fact rows, where Spark cannot know the size of a derived
+    dimension before it has shuffled the facts. Counting stops past the bound.
+    """
+    small = dimension.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(dimension) if small else dimension
+
+
 def with_prefix_role(facilities: DataFrame, prefix: str) -> DataFrame:
     return facilities.filter(F.col("facilityname").startswith(prefix))
 

@@ -37,7 +37,7 @@ from lanewright.functions.shipments import (
     within_days,
     within_months,
 )
-from lanewright.operators.lookup import lookup, with_prefix_role
+from lanewright.operators.lookup import if_few, lookup, with_prefix_role
 from lanewright.operators.rank import top_per_group
 from lanewright.operators.update import require_unique
 
@@ -54,8 +54,8 @@ def live_shipments(shipments: DataFrame) -> DataFrame:
 
 
 def _with_ends(df: DataFrame, locations: DataFrame, *extra: str) -> DataFrame:
-    """Attach code, name and further columns of both locations."""
-    cols = ("code", "name", *extra)
+    """Attach the code and further columns of both locations."""
+    cols = ("code", *extra)
     df = lookup(df, locations, {"location_from": "iid"}, {f"origin_{c}": c for c in cols})
     return lookup(df, locations, {"location_to": "iid"}, {f"destination_{c}": c for c in cols})
 
@@ -144,7 +144,7 @@ def load_sizes(
         "location_to",
     ).agg(F.count(F.lit(1)).alias("n"), F.sum(or_zero(F.col("qty_to"))).alias("quantity"))
     kind = F.col("movetype")
-    coded = _with_ends(by_ends, locations).select(
+    coded = _with_ends(by_ends, locations, "name").select(
         "movetype",
         customer_side(kind, *_codes()).alias("customer_code"),
         customer_side(kind, F.col("origin_name"), F.col("destination_name")).alias(
@@ -200,7 +200,7 @@ def lane_loads(
         move_type(F.col("tnumber")).alias("movetype"), "location_from", "location_to", "scac"
     ).agg(F.count(F.lit(1)).alias("n"))
     kind = F.col("movetype")
-    coded = _with_ends(_with_carrier(by_ends, carrier_types), locations).select(
+    coded = _with_ends(_with_carrier(by_ends, carrier_types), locations, "name").select(
         "movetype",
         depot_side(kind, *_codes()).alias("depot"),
         customer_side(kind, *_codes()).alias("customer"),
@@ -228,18 +228,15 @@ def lane_loads(
     return loads.withColumn("split_flag", F.when(classes >= 2, "Split").otherwise(""))
 
 
-# Columns of a cost row besides the measures. The shipment id is one of them.
-COST_ROW_KEYS = (
-    "movetype",
-    "depot",
-    "customer",
-    "lane_id",
+# What tells shipments apart. Move type, lane, sides and carrier class follow
+# from these and are derived after the grouping, which keeps the shuffle narrow.
+_SHIPMENT_KEYS = (
+    "tnumber",
     "scac",
-    "carrier_type",
-    "destination_code",
-    "destination_nav_type",
     "origin_code",
     "origin_nav_type",
+    "destination_code",
+    "destination_nav_type",
     "creation_date",
     "delivery_date",
     "planned_to",
@@ -248,7 +245,6 @@ COST_ROW_KEYS = (
     "date_to",
     "actual_ship",
     "actual_delivery",
-    "tnumber",
 )
 
 
@@ -259,34 +255,40 @@ def lane_costs(
     as_of: dt.date,
     months: int = 3,
 ) -> DataFrame:
-    """Cost, volume and loads per shipment, lane and carrier."""
+    """Cost, volume and loads per shipment, lane and carrier.
+
+    A shipment id is a group key, so grouping does not shrink the rows and the
+    locations are looked up first, without moving the shipments if they are few.
+    """
     kept = live_shipments(shipments).filter(
         within_months(F.col("date_to"), as_of, months) & F.col("distance").isNotNull()
     )
-    coded = _with_ends(_with_carrier(kept, carrier_types), locations, "nav_type")
-    kind = move_type(F.col("tnumber"))
-    rows = coded.withColumns(
-        {
-            "movetype": kind,
-            "depot": depot_side(kind, *_codes()),
-            "customer": customer_side(kind, *_codes()),
-            "lane_id": lane_id(*_codes()),
-            "carrier_type": F.when(F.col("is_cpu"), CPU)
-            .when(F.col("is_dedicated"), DEDICATED)
-            .otherwise(OTHER),
-        }
-    )
+    coded = _with_ends(kept, if_few(locations), "nav_type")
     surcharges = [F.col(c) for c in ("inv_fuel", "inv_other", "inv_detention", "inv_tax")]
     cost = invoice_cost(
         F.col("inv_linehaul"), surcharges, F.col("norm_charge"), F.col("charge")
     )
-    return rows.groupBy(*COST_ROW_KEYS).agg(
+    sums = coded.groupBy(*_SHIPMENT_KEYS).agg(
         F.sum(cost).alias("ttl_cost"),
         F.sum(-F.col("qty_from")).alias("volume"),
         F.count("qty_from").alias("total_loads"),
         F.sum(or_zero(F.col("inv_fuel"))).alias("ttl_fuel_cost"),
         F.sum(or_zero(F.col("inv_linehaul"))).alias("ttl_lh_cost"),
     )
+    kind = F.col("movetype")
+    classed = _with_carrier(sums, carrier_types).withColumn(
+        "movetype", move_type(F.col("tnumber"))
+    )
+    return classed.withColumns(
+        {
+            "depot": depot_side(kind, *_codes()),
+            "customer": customer_side(kind, *_codes()),
+            "lane_id": lane_id(*_codes()),
+            "carrier_type": F.when(F.col("is_cpu"), CPU)
+            .when(F.col("is_dedicated"), DEDICATED)
+            .otherwise(OTHER),
+        }
+    ).drop("is_cpu", "is_dedicated")
 
 
 def carrier_loads(
