@@ -88,7 +88,7 @@ def read_side_input(
     """
     columns = {**spec.columns, **(headers or {})}
     if fmt == "csv":
-        raw = _read_csv_with_offset(spark, path, spec.header_row)
+        raw = _read_csv_with_offset(spark, path, spec.header_row).dropna("all")
     else:
         raw = spark.read.format(fmt).load(path)
     return typed_side_input(raw, spec, columns)
@@ -120,7 +120,8 @@ def _read_csv_with_offset(spark: SparkSession, path: str, header_row: int) -> Da
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names if n])
     body = lines.filter(~F.col("value").isin(head) & (F.trim("value") != ""))
     parsed = F.from_csv(F.col("value"), F.lit(_ddl(schema)), {"mode": "PERMISSIVE"})
-    return body.select(parsed.alias("row")).select("row.*")
+    cells = body.select(parsed.alias("row")).select("row.*")
+    return cells.select(*[blank_to_null(F.col(f"`{n}`")).alias(n) for n in cells.columns])
 
 
 def _ddl(schema: T.StructType) -> str:
