@@ -15,7 +15,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lanewright.specs import Params
 
-RAW_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+# Declared, so that opening a table runs no job to infer its schema.
+RAW_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+RAW_TABLES = tuple(RAW_SCHEMAS)
 
 AS_OF = dt.date(2001, 8, 1)
 # Lanes of these views are thin, so rates look at all of history and at lanes
@@ -321,7 +336,7 @@ def with_clause(sql: str, known: dict[str, str]) -> str:
 
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

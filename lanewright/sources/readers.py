@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterable, Mapping
+from collections.abc import Collection, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,19 +40,24 @@ def read_model_jdbc(
     url: str,
     names: Iterable[str] = tuple(MODEL_TABLES),
     *,
+    partitioning: Mapping[str, Mapping[str, str]],
+    small: Collection[str] = ("periods",),
     properties: Mapping[str, str] | None = None,
-    partitioning: Mapping[str, Mapping[str, str]] | None = None,
     column_names: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """The same from a database.
 
     ``partitioning`` gives per table the ``partitionColumn``, ``lowerBound``,
-    ``upperBound`` and ``numPartitions`` of a parallel read. A large table
-    without them is read by one task.
+    ``upperBound`` and ``numPartitions`` of a parallel read. Only tables named
+    ``small`` may go without, since one task then reads all of them.
     """
+    names = list(names)
+    unplanned = [n for n in names if n not in partitioning and n not in small]
+    if unplanned:
+        raise ValueError(f"no partitioned read given for {unplanned}")
     tables = {}
     for name in names:
-        options = {**(properties or {}), **(partitioning or {}).get(name, {})}
+        options = {**(properties or {}), **partitioning.get(name, {})}
         raw = spark.read.format("jdbc").option("url", url).option("dbtable", name)
         tables[name] = typed_model_table(
             raw.options(**options).load(), MODEL_TABLES[name], column_names

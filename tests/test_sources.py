@@ -81,3 +81,8 @@ def test_failed_publish_leaves_the_old_snapshot(spark, rows, tmp_path):
     assert staging.read_published(spark, root, back=1)["t"].count() == 1
     with pytest.raises(LookupError):
         staging.read_published(spark, root, back=2)
+
+
+def test_database_read_must_be_partitioned(spark):
+    with pytest.raises(ValueError, match="customers"):
+        readers.read_model_jdbc(spark, "jdbc:x", ["customers", "periods"], partitioning={})
