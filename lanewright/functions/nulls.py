@@ -39,6 +39,8 @@ def floor_at(value: Column, lowest: float = 0.0) -> Column:
     return F.when(value < lowest, F.lit(lowest)).otherwise(value)
 
 
-def comparable_number(value: Column, digits: int = 2) -> Column:
-    """Rounded half-even, null read as 0, so 560, 560.0 and blanks compare."""
-    return F.coalesce(F.bround(to_double(value), digits), F.lit(0.0))
+def comparable_number(value: Column, digits: int = 2, null_is_zero: bool = True) -> Column:
+    """Rounded half-even, so 560 and 560.0 compare equal, and so do null and 0
+    unless told apart."""
+    number = F.bround(to_double(value), digits)
+    return F.coalesce(number, F.lit(0.0)) if null_is_zero else number

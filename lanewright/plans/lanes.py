@@ -61,10 +61,18 @@ def _miles(params: Params) -> Column:
     return F.coalesce(miles, F.lit(params.missing_distance))
 
 
-def _with_place(df: DataFrame, places: DataFrame, on: dict[str, str], end: str) -> DataFrame:
-    """Region columns of one lane end, prefixed 'o' or 'd'."""
+def _with_place(
+    df: DataFrame,
+    places: DataFrame,
+    on: dict[str, str],
+    end: str,
+    depottype: str | None = None,
+) -> DataFrame:
+    """Region columns of one lane end, prefixed 'o' or 'd', and its depot type."""
     names = {"georegion": "region"}
     take = {f"{end}{names.get(c, c)}": c for c in _PLACE_COLUMNS}
+    if depottype is not None:
+        take[depottype] = "depottype"
     return lookup(df, places, on, take)
 
 
@@ -131,11 +139,9 @@ def fulfillment_attributes(
     lanes = first_per_key(
         policies.select(*keys, "productname", *_OWN_COLUMNS), keys, ["productname"]
     ).withColumn("miles", _miles(params))
+    # Lookups on one key stand together: past broadcast size they share a shuffle.
+    lanes = _with_place(lanes, facilities, {"sourcename": "facilityname"}, "o", "depottype")
     lanes = _with_place(lanes, customers, {"customername": "customername"}, "d")
-    lanes = _with_place(lanes, facilities, {"sourcename": "facilityname"}, "o")
-    lanes = lookup(
-        lanes, facilities, {"sourcename": "facilityname"}, {"depottype": "depottype"}
-    )
     monthly = horizon_totals(demand, "customername", "quantity", params, mean=True)
     lanes = lookup(lanes, monthly, {"customername": "customername"}, {"amount": "amount"})
     lanes = lookup(
@@ -162,11 +168,8 @@ def replenishment_attributes(
     lanes = first_per_key(
         policies.select(*keys, "productname", *_OWN_COLUMNS), keys, ["productname"]
     ).withColumn("miles", _miles(params))
-    lanes = _with_place(lanes, facilities, {"sourcename": "facilityname"}, "o")
-    lanes = _with_place(lanes, facilities, {"facilityname": "facilityname"}, "d")
-    types = {"sourcename": "odepottype", "facilityname": "ddepottype"}
-    for key, name in types.items():
-        lanes = lookup(lanes, facilities, {key: "facilityname"}, {name: "depottype"})
+    for key, end in (("facilityname", "d"), ("sourcename", "o")):
+        lanes = _with_place(lanes, facilities, {key: "facilityname"}, end, f"{end}depottype")
     forecast = production.filter(F.col("notes") == params.returns_notes)
     monthly = horizon_totals(forecast, "facilityname", "constraintvalue", params, mean=True)
     lanes = lookup(lanes, monthly, {"sourcename": "facilityname"}, {"amount": "amount"})
