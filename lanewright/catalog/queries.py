@@ -637,8 +637,8 @@ def dq_allowed_values(i: Inputs) -> DataFrame:
 
 @query
 def dq_gate_report(i: Inputs) -> DataFrame:
-    """All rules over all seven side inputs."""
-    return quality.gate_report(i.side(), SIDE_INPUTS)
+    """All rules over all seven side inputs, stored once as each rule reads them."""
+    return quality.gate_report(staging.Stage(i.spark).cut_all(i.side()), SIDE_INPUTS)
 
 
 # --- reconciliation ----------------------------------------------------------
@@ -910,7 +910,8 @@ def rate_selection(i: Inputs) -> DataFrame:
 
 @query
 def rate_flag_propagation(i: Inputs) -> DataFrame:
-    transport = _rates(i)
+    flagged = _rates(i).select("originname", "destinationname", "cpu")
+    transport = staging.Stage(i.spark).cut(flagged, "flagged_lanes")
     issues = rates.fulfillment_carrier_flags(i.customerfulfillmentpolicies, transport)
     moves = rates.replenishment_carrier_flags(i.replenishmentpolicies, transport)
     return issues.select(
