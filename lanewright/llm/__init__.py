@@ -1 +1,8 @@
 """Operators for large training-data pipelines, and the queries that apply them."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Executors get the functions of this package with the job, so they need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanewright.llm.common import stage
+from lanewright.sources.staging import Stage
 
 SHINGLE, WINDOW, STRIDE, BANDS = 5, 8, 4, 6
 THRESHOLD = 0.8
@@ -88,21 +89,31 @@ def _shingle_ids(hashes: Column) -> Column:
 _SALTS = [((k + 1) * 0x9E3779B97F4A7C15) % (1 << 63) for k in range(BANDS)]
 
 
-def _with_minima(df: DataFrame) -> DataFrame:
-    """Adds the shingle hashes and one array of them for each hash function."""
-    df = df.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-    df = df.withColumn("ids", _shingle_ids(F.col("hashes"))).drop("hashes")
-    return df.withColumns(
-        {f"h{k}": F.transform("ids", lambda x, s=s: x.bitwiseXOR(F.lit(s))) for k, s in enumerate(_SALTS)}
-    )
+def _with_ids(df: DataFrame, text: Column) -> DataFrame:
+    df = df.withColumn("hashes", F.transform(words_of(text), lambda w: F.xxhash64(w)))
+    return df.withColumn("ids", _shingle_ids(F.col("hashes"))).drop("hashes")
+
+
+def _bands(start: Column) -> Column:
+    """The window's key in each band. Elements are taken by place, since a slice
+    of an array costs as much as the whole array."""
+    window = [F.get("ids", start + j) for j in range(WINDOW)]
+    least = lambda salt: F.least(*[x.bitwiseXOR(F.lit(salt)) for x in window])
+    return F.array(*[F.xxhash64(F.lit(k), least(salt)) for k, salt in enumerate(_SALTS)])
+
 
+def _single(shingle: Column) -> Column:
+    return F.xxhash64(F.lit(-1), shingle)
 
-def _bands(start: Column) -> list[Column]:
-    """The window's key in each band."""
-    return [
-        F.xxhash64(F.lit(k), F.array_min(F.slice(F.col(f"h{k}"), start + 1, WINDOW)))
-        for k in range(BANDS)
-    ]
+
+def _probe_keys() -> Column:
+    """Of every window its BANDS keys, then the keys of the STRIDE shingles it starts with."""
+    own = lambda s: [F.get("ids", s + j) for j in range(STRIDE)]
+    one = lambda s: F.concat(
+        _bands(s), F.array(*[F.when(x.isNotNull(), _single(x)) for x in own(s)])
+    )
+    starts = F.sequence(F.lit(0), F.size("ids") - 1, F.lit(STRIDE))
+    return F.when(F.size("ids") > 0, F.flatten(F.transform(starts, one)))
 
 
 def _texts(words: Column) -> Column:
@@ -118,18 +129,16 @@ def _texts(words: Column) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
-def template_keys(templates: DataFrame) -> DataFrame:
+def template_keys(work: Stage, templates: DataFrame) -> DataFrame:
     """``license_id, key, offset``: band keys of the template's windows, or of its
     shingles if it is shorter than a window."""
-    t = _with_minima(templates.select("license_id", words_of(F.col("text")).alias("words")))
+    t = work.cut(_with_ids(templates.select("license_id", "text"), F.col("text")), "ids")
     long = F.size("ids") >= WINDOW
     starts = F.sequence(F.lit(0), F.size("ids") - WINDOW)
-    windows = t.filter(long).select("*", F.explode(starts).alias("offset"))
-    windows = windows.select(
-        "license_id", F.explode(F.array(*_bands(F.col("offset")))).alias("key"), "offset"
-    )
+    windows = t.filter(long).select("license_id", "ids", F.explode(starts).alias("offset"))
+    windows = windows.select("license_id", F.explode(_bands(F.col("offset"))).alias("key"), "offset")
     single = t.filter(~long).select("license_id", F.posexplode("ids").alias("offset", "id"))
-    single = single.select("license_id", F.xxhash64(F.lit(-1), "id").alias("key"), "offset")
+    single = single.select("license_id", _single(F.col("id")).alias("key"), "offset")
     return windows.unionByName(single).distinct()
 
 
@@ -152,41 +161,35 @@ def license_matches(
     known = templates.select(
         "license_id", _texts(F.col("words")).alias("wanted"), F.size("words").alias("n_words")
     )
-    keys = template_keys(templates).join(known.select("license_id", "n_words"), "license_id")
+    keys = template_keys(work, templates).join(known.select("license_id", "n_words"), "license_id")
     keys = work.cut(keys, "keys")
 
-    own = docs.filter(F.col("text").isNotNull()).select("doc_id", words_of(F.col("text")).alias("words"))
-    own = _with_minima(own.filter(F.size("words") >= SHINGLE))
-    # Each window with its band keys and the keys of the shingles that start its stride.
-    stride = F.transform(
-        F.slice(F.col("ids"), F.col("start") + 1, STRIDE), lambda x: F.xxhash64(F.lit(-1), x)
-    )
-    windows = own.select(
-        "*", F.explode(F.sequence(F.lit(0), F.size("ids") - 1, F.lit(STRIDE))).alias("start")
+    # Only keys leave the texts here; a text's words never travel with them. The outer
+    # form keeps Spark from testing the keys beforehand, which would compute them twice.
+    probes = (
+        _with_ids(docs.select("doc_id", "text"), F.col("text"))
+        .select("doc_id", _probe_keys().alias("keys"))
+        .select("doc_id", F.posexplode_outer("keys").alias("pos", "key"))
     )
-    probes = windows.select(
-        "doc_id",
-        "words",
-        "start",
-        F.posexplode(F.concat(F.array(*_bands(F.col("start"))), stride)).alias("band", "key"),
-    )
-    hits = probes.join(keys, "key")
-    # Where the template would begin; a shingle key stands at its own place.
-    at = F.col("start") + F.greatest(F.col("band") - F.lit(BANDS), F.lit(0)) - F.col("offset")
+    # Where the template would begin; a shingle's key stands at its own place.
+    per_window = F.lit(BANDS + STRIDE)
+    start = F.floor(F.col("pos") / per_window) * STRIDE
+    shift = F.greatest(F.col("pos") % per_window - F.lit(BANDS), F.lit(0))
+    at = F.greatest(start + shift - F.col("offset"), F.lit(0)).cast("int").alias("at")
+    places = probes.join(keys, "key").select("doc_id", "license_id", "n_words", at).distinct()
+    places = work.cut(places, "places")
+
     slack = F.lit(WINDOW) + (F.col("n_words") / 4).cast("int")
-    first = F.greatest(at - slack, F.lit(0))
-    places = hits.select(
+    first = F.greatest(F.col("at") - slack, F.lit(0))
+    places = docs.select("doc_id", "text").join(places, "doc_id").select(
         "doc_id",
         "license_id",
-        F.greatest(at, F.lit(0)).alias("at"),
-        F.slice("words", first + 1, F.col("n_words") + 2 * slack).alias("stretch"),
+        "at",
+        F.slice(words_of(F.col("text")), first + 1, F.col("n_words") + 2 * slack).alias("stretch"),
     )
-    places = places.groupBy("doc_id", "license_id", "at").agg(F.first("stretch").alias("stretch"))
+    shared = F.size(F.array_intersect(F.col("wanted"), _texts(F.col("stretch"))))
     checked = places.join(known, "license_id").select(
-        "doc_id",
-        "license_id",
-        "at",
-        (F.size(F.array_intersect("wanted", _texts(F.col("stretch")))) / F.size("wanted")).alias("share"),
+        "doc_id", "license_id", "at", (shared / F.size("wanted")).alias("share")
     )
     return (
         checked.filter(F.col("share") >= threshold)
@@ -194,6 +197,6 @@ def license_matches(
         .agg(
             F.max("share").alias("containment"),
             F.min("at").cast("long").alias("first_word"),
-            F.count("*").alias("n_places"),
+            F.countDistinct("at").alias("n_places"),
         )
     )
