@@ -51,7 +51,7 @@ from lanewright.sources.staging import Stage
 SHINGLE = 5
 # N-grams that come last in the global order: at most this many, chosen by count.
 # Their count is at least all n-grams / HOT_LIST, which bounds the list.
-HOT_LIST = 1 << 20
+HOT_LIST = 1 << 22
 HOT_LEAST = 16
 _COUNT_AT = 4_000_000  # n-grams a task counts together
 MEET_BLOCK = 1024  # classes of one prefix n-gram in a block
@@ -77,9 +77,9 @@ def set_digest(grams: np.ndarray) -> int:
 
 
 def parity_bitmap(grams: np.ndarray) -> bytes:
-    """Parity of the number of n-grams that fall on each of 2n to 4n bits, a power
-    of two, so larger bitmaps fold onto smaller ones."""
-    bits = max(64, 1 << (2 * len(grams) - 1).bit_length())
+    """Parity of the number of n-grams that fall on each of n to 2n bits, a power of
+    two, so larger bitmaps fold onto smaller ones."""
+    bits = max(64, 1 << (len(grams) - 1).bit_length())
     places = (grams & np.uint64(bits - 1)).astype(np.int64)
     odd = (np.bincount(places, minlength=bits) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").tobytes()
@@ -241,7 +241,7 @@ def _fold(bits: np.ndarray, size: int) -> np.ndarray:
     return bits
 
 
-def meeting_edges(n: np.ndarray, pos: np.ndarray, bitmaps: list[bytes], forest: Forest, node: np.ndarray) -> list:
+def meeting_edges(n: np.ndarray, pos: np.ndarray, bitmaps: list[bytes], forest: Forest, node: list) -> list:
     """Spanning edges among classes that meet under one n-gram and pass the filters.
 
     Rows come in order of ``n``. ``node`` gives their places in ``forest``, which
@@ -269,31 +269,89 @@ def meeting_edges(n: np.ndarray, pos: np.ndarray, bitmaps: list[bytes], forest:
             apart = np.bitwise_count(packed[w][a:b] ^ _fold(own, w)).sum(1, dtype=np.int64)
             fits &= apart <= n[js] + n[i] - 2 * need
             for j in js[fits].tolist():
-                if forest.join(int(node[i]), int(node[j])):
+                if forest.join(node[i], node[j]):
                     edges.append((i, j))
     return edges
 
 
+SMALL_GROUP = 24  # below it plain loops are faster than arrays
+
+
+def _few_edges(n: list, pos: list, bitmaps: list, node: list, forest: Forest) -> list:
+    """``meeting_edges`` of a few rows."""
+    edges, numbers, widths = [], [int.from_bytes(b, "little") for b in bitmaps], [8 * len(b) for b in bitmaps]
+    for i in range(1, len(n)):
+        for j in range(i - 1, -1, -1):
+            if 5 * n[j] < 4 * n[i]:
+                break
+            need = required_overlap(n[i], n[j])
+            if n[i] - pos[i] < need or n[j] - pos[j] < need:
+                continue
+            if forest.find(node[i]) == forest.find(node[j]):
+                continue
+            own, width = numbers[i], widths[i]
+            while width > widths[j]:
+                width //= 2
+                own = (own >> width) ^ (own & ((1 << width) - 1))
+            if (own ^ numbers[j]).bit_count() <= n[i] + n[j] - 2 * need:
+                forest.join(node[i], node[j])
+                edges.append((i, j))
+    return edges
+
+
+def _whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Batches that end where a group ends; rows are sorted by ``keys``."""
+    carry: list[pd.DataFrame] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        last = np.ones(len(batch), bool)
+        for k in keys:
+            v = batch[k].to_numpy()
+            last &= v == v[-1]
+        cut = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
+        same = carry and all(carry[0][k].iloc[0] == batch[k].iloc[0] for k in keys)
+        if carry and (cut or not same):
+            done = [*carry, batch[:cut]]
+            yield pd.concat(done, ignore_index=True)
+            carry = []
+        elif cut:
+            yield batch[:cut].reset_index(drop=True)
+        carry.append(batch[cut:])
+    if carry:
+        yield pd.concat(carry, ignore_index=True)
+
+
 def _candidate_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Edges that span what this task's n-grams connect."""
     number: dict[int, int] = {}
     forest = Forest(0)
-    for group in _groups(batches, ["gram", "part"]):
-        if len(group) < 2:
-            continue
-        rep = group["rep"].to_numpy()
-        for r in rep.tolist():
+    for block in _whole_groups(batches, ["gram", "part"]):
+        rep = block["rep"].to_numpy()
+        known, inverse = np.unique(rep, return_inverse=True)
+        for r in known.tolist():
             if r not in number:
                 number[r] = len(number)
                 forest.parent.append(number[r])
-        node = np.array([number[r] for r in rep.tolist()])
-        if len({forest.find(x) for x in node.tolist()}) < 2:
-            continue
-        edges = meeting_edges(
-            group["n"].to_numpy(np.int64), group["pos"].to_numpy(np.int64), list(group["bits"]), forest, node
-        )
-        if edges:
-            i, j = np.array(edges).T
+        node = np.array([number[r] for r in known.tolist()])[inverse].tolist()
+        gram, part = block["gram"].to_numpy(), block["part"].to_numpy()
+        change = np.flatnonzero((gram[1:] != gram[:-1]) | (part[1:] != part[:-1])) + 1
+        cuts = [0, *change.tolist(), len(block)]
+        n, pos, bits = block["n"].tolist(), block["pos"].tolist(), block["bits"].tolist()
+        found: list[tuple[int, int]] = []
+        for a, b in zip(cuts, cuts[1:]):
+            if b - a < 2:
+                continue
+            root = forest.find(node[a])
+            if all(forest.find(x) == root for x in node[a + 1 : b]):
+                continue
+            if b - a < SMALL_GROUP:
+                edges = _few_edges(n[a:b], pos[a:b], bits[a:b], node[a:b], forest)
+            else:
+                edges = meeting_edges(np.array(n[a:b]), np.array(pos[a:b]), bits[a:b], forest, node[a:b])
+            found.extend((a + i, a + j) for i, j in edges)
+        if found:
+            i, j = np.array(found).T
             yield pd.DataFrame({"a": rep[i], "b": rep[j]})
 
 

@@ -3,16 +3,12 @@
 import random
 
 import numpy as np
+from llm_data import hashed, near_sets
 
-from lanewright.llm.common import mix64
 from lanewright.llm.decontaminate import tiles
 from lanewright.llm.ngram_join import Forest, PrefixTree, _triangle
 
 
-def hashed(values):
-    return mix64(np.array(list(values), np.uint64) + np.uint64(5))
-
-
 def plain_tiles(a, b, least):
     free_a, free_b, out = [True] * len(a), [True] * len(b), []
 
@@ -43,21 +39,6 @@ def test_tiles():
         assert tiles(hashed(a), hashed(b), 3) == plain_tiles(a, b, 3)
 
 
-def near_sets(rng):
-    sets = []
-    for _ in range(4):
-        base = rng.sample(range(10000), rng.randint(3, 60))
-        for _ in range(rng.randint(1, 6)):
-            own = set(base)
-            for _ in range(rng.randint(0, max(1, len(base) // 7))):
-                if own:
-                    own.discard(rng.choice(sorted(own)))
-                own.add(rng.randrange(10000))
-            sets.append(np.unique(hashed(sorted(own))))
-    rng.shuffle(sets)
-    return sets
-
-
 def test_prefix_tree_finds_every_link():
     rng = random.Random(3)
     for _ in range(150):
