@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lanewright.llm.common import stage
+
 # 2**14 blocks are 128 kB whatever the number of rules; use more for long lists.
 BLOCK_BITS = 14
 PROBES = 5
@@ -152,6 +154,9 @@ def judge_urls(
             ).alias("best")
         )
     )
+    # Written, so that Spark knows its size: small lists are broadcast, long ones are
+    # joined with hot keys split.
+    best = stage(pages.sparkSession, "urls").cut(best, "best")
     return passed.join(best, "keys", "left").select(
         *hit,
         F.col("best.rule").alias("rule"),
