@@ -17,7 +17,7 @@ from lanewright.sources.staging import Stage, shared_folder
 # Texts handed to numpy together; bounds the memory of one step in a task.
 CHUNK_CHARS = 2_000_000
 # Distinct words kept by a task's cache before it is emptied.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 300_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

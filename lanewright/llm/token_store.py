@@ -17,8 +17,8 @@ read.
 from __future__ import annotations
 
 import json
+import re
 import struct
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -119,28 +119,53 @@ def unpack_file(data: bytes) -> tuple[np.ndarray, np.ndarray, Codes]:
     return arrays[0], arrays[1], Codes(arrays[2 : 2 + n], arrays[2 + n : 1 + 2 * n], arrays[1 + 2 * n :])
 
 
+# The printable stand-in of each byte under byte-level coding, a fixed rule of the format:
+# printable bytes stand for themselves, the others follow from code point 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_REST = [b for b in range(256) if b not in _PRINTABLE]
+_STAND_IN = {b: b for b in _PRINTABLE} | {b: 256 + k for k, b in enumerate(_REST)}
+# Letters that are in composed form and have one lower-case letter each, then marks.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿœŒ]+)([.,!?]?)")
+
+
 class WordEncoder:
     """A tokenizers file, applied chunk by chunk between ASCII white space.
 
     The tokenizer drops white space and never looks across it, so the ids of a
     text are those of its chunks, and a chunk is encoded once while it stays in
-    the bounded cache.
+    the bounded cache. A chunk of plain letters, with a mark or none, goes
+    straight to the library's BPE model, as the normaliser and the splitter
+    would hand it over; every other chunk goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.model, self.marks = self.tokenizer.model, {"": b""}
+        for mark in ".,!?":
+            self.marks[mark] = self._whole(mark)
+
+    def _whole(self, chunk: str) -> bytes:
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _ids(self, chunk: bytes) -> bytes:
+        text = chunk.decode()
+        simple = _PLAIN.fullmatch(text)
+        if not simple:
+            return self._whole(text)
+        letters = simple[1].lower()
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(_STAND_IN)
+        ids = np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
+        return ids + self.marks[simple[2]]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [(t or "").encode().split() for t in texts]
         if len(self.known) >= CACHE_WORDS:
             self.known.clear()
-        new = list({w for words in split for w in words} - self.known.keys())
-        for k in range(0, len(new), 10_000):
-            some = [w.decode() for w in new[k : k + 10_000]]
-            for w, e in zip(new[k:], self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
+        for w in {w for words in split for w in words} - self.known.keys():
+            self.known[w] = self._ids(w)
         get = self.known.__getitem__
         return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in split]
 
@@ -220,6 +245,3 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
 def token_digest(tokens: DataFrame) -> DataFrame:
     return tokens.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
-
-def crc(ids: np.ndarray) -> int:
-    return zlib.crc32(ids.astype("<u4").tobytes())
