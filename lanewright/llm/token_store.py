@@ -141,7 +141,7 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known, self.letters = Tokenizer.from_file(path), {}, {}
         self.model, self.marks = self.tokenizer.model, {"": b""}
         for mark in ".,!?":
             self.marks[mark] = self._whole(mark)
@@ -157,13 +157,18 @@ class WordEncoder:
         letters = simple[1].lower()
         if not letters.isascii():
             letters = letters.encode().decode("latin-1").translate(_STAND_IN)
-        ids = np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
+        ids = self.letters.get(letters)
+        if ids is None:
+            ids = np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
+            self.letters[letters] = ids
         return ids + self.marks[simple[2]]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [(t or "").encode().split() for t in texts]
         if len(self.known) >= CACHE_WORDS:
             self.known.clear()
+        if len(self.letters) >= CACHE_WORDS:
+            self.letters.clear()
         for w in {w for words in split for w in words} - self.known.keys():
             self.known[w] = self._ids(w)
         get = self.known.__getitem__
