@@ -14,18 +14,24 @@ def lookup(
     on: Mapping[str, str],
     take: Mapping[str, str],
     how: str = "left",
+    one_row: bool = False,
 ) -> DataFrame:
     """Join ``dimension`` and add its columns under new names.
 
     on     column of ``df`` -> column of ``dimension``
     take   new name -> column of ``dimension``
 
-    Only the named columns travel. Null keys match nothing.
+    Only the named columns travel. Null keys match nothing. With ``one_row`` a
+    repeated key counts once, with its smallest row, so ``df`` keeps its rows.
     """
     narrow = dimension.select(
         *[F.col(d).alias(f"__l_{i}") for i, d in enumerate(on.values())],
         *[F.col(c).alias(new) for new, c in take.items()],
     ).dropna(subset=[f"__l_{i}" for i in range(len(on))])
+    if one_row:
+        keys = [f"__l_{i}" for i in range(len(on))]
+        least = F.min(F.struct(*take)).alias("__row")
+        narrow = narrow.groupBy(*keys).agg(least).select(*keys, "__row.*")
     condition = None
     for i, left in enumerate(on):
         equal = F.col(left) == F.col(f"__l_{i}")
@@ -33,16 +39,6 @@ def lookup(
     return df.join(narrow, condition, how).drop(*[f"__l_{i}" for i in range(len(on))])
 
 
-def if_few(dimension: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Mark a dimension for broadcast if a count proves it small, else leave it.
-
-    For lookups on fact rows, where Spark cannot know the size of a derived
-    dimension before it has shuffled the facts. Counting stops past the bound.
-    """
-    small = dimension.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(dimension) if small else dimension
-
-
 def with_prefix_role(facilities: DataFrame, prefix: str) -> DataFrame:
     return facilities.filter(F.col("facilityname").startswith(prefix))
 

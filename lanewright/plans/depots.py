@@ -64,6 +64,7 @@ def inventory_limits(
         limits,
         {"facilityname": "model_id"},
         {"__lowest": "lowest", "__highest": "highest"},
+        one_row=True,
     )
     value = F.when(F.col("notes") == params.min_inventory_notes, F.col("__lowest")).when(
         F.col("notes") == params.max_inventory_notes, F.col("__highest")
@@ -83,7 +84,7 @@ def initial_inventory(
     names = ("dmg_rate", "beginv_rfu", "beginv_wip", "beginv_mix")
     stock = depots.select("model_id", *[floor_at(F.col(c)).alias(c) for c in names])
     joined = lookup(
-        policies, stock, {"facilityname": "model_id"}, {f"__{c}": c for c in names}
+        policies, stock, {"facilityname": "model_id"}, {f"__{c}": c for c in names}, one_row=True
     )
     damage, ready, progress, mixed = (or_zero(F.col(f"__{c}")) for c in names)
     value = F.when(
@@ -100,10 +101,10 @@ def repair_capacity(
 ) -> DataFrame:
     """Working days times repairs a day. Unlisted depots get 0, unknown periods keep."""
     joined = lookup(
-        constraints, periods, {"periodname": "periodname"}, {"__days": "workingdays"}
+        constraints, periods, {"periodname": "periodname"}, {"__days": "workingdays"}, one_row=True
     )
     joined = lookup(
-        joined, depots, {"facilityname": "model_id"}, {"__repairs": "repair_per_day"}
+        joined, depots, {"facilityname": "model_id"}, {"__repairs": "repair_per_day"}, one_row=True
     )
     capacity = F.col("__days").cast("double") * or_zero(F.col("__repairs"))
     chosen = F.when(F.col("notes") == params.repair_notes, capacity)

@@ -37,7 +37,7 @@ from lanewright.functions.shipments import (
     within_days,
     within_months,
 )
-from lanewright.operators.lookup import if_few, lookup, with_prefix_role
+from lanewright.operators.lookup import lookup, with_prefix_role
 from lanewright.operators.rank import top_per_group
 from lanewright.operators.update import require_unique
 
@@ -258,12 +258,12 @@ def lane_costs(
     """Cost, volume and loads per shipment, lane and carrier.
 
     A shipment id is a group key, so grouping does not shrink the rows and the
-    locations are looked up first, without moving the shipments if they are few.
+    locations are looked up first. Spark broadcasts them if their size allows it.
     """
     kept = live_shipments(shipments).filter(
         within_months(F.col("date_to"), as_of, months) & F.col("distance").isNotNull()
     )
-    coded = _with_ends(kept, if_few(locations), "nav_type")
+    coded = _with_ends(kept, locations, "nav_type")
     surcharges = [F.col(c) for c in ("inv_fuel", "inv_other", "inv_detention", "inv_tax")]
     cost = invoice_cost(
         F.col("inv_linehaul"), surcharges, F.col("norm_charge"), F.col("charge")

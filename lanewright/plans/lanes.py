@@ -73,7 +73,7 @@ def _with_place(
     take = {f"{end}{names.get(c, c)}": c for c in _PLACE_COLUMNS}
     if depottype is not None:
         take[depottype] = "depottype"
-    return lookup(df, places, on, take)
+    return lookup(df, places, on, take, one_row=True)
 
 
 def _with_bands(df: DataFrame, params: Params, extra_condition: Column | None = None):
@@ -149,6 +149,7 @@ def fulfillment_attributes(
         depots_served,
         {"customername": "model_id"},
         {"number_of_depots": "number_of_depots"},
+        one_row=True,
     )
     lanes = _with_bands(lanes, params)
     closest = closest_depots(policies, facilities, "customername", "sourcename", params)
@@ -178,6 +179,7 @@ def replenishment_attributes(
         depots_served,
         {"sourcename": "model_id"},
         {"number_of_depots": "number_of_depots"},
+        one_row=True,
     )
     lanes = _with_bands(lanes, params, F.col("sourcename").startswith(RETURN_ROLE))
     returns = policies.filter(F.col("sourcename").startswith("R"))
@@ -195,6 +197,7 @@ def transport_places(policies: DataFrame, facilities: DataFrame) -> DataFrame:
             facilities,
             {name: "facilityname"},
             {f"__{end}country": "country", f"__{end}loccode": "loccode"},
+            one_row=True,
         )
     for c in ("ocountry", "dcountry", "oloccode", "dloccode"):
         joined = joined.withColumn(c, F.coalesce(F.col(f"__{c}"), F.col(c)))

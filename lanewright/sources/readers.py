@@ -115,19 +115,29 @@ def typed_side_input(
     return raw.select(*[cell(old, new) for old, new in present])
 
 
+HEADER_LINES = 200  # lines looked at for the header
+
+
 def _read_csv_with_offset(spark: SparkSession, path: str, header_row: int) -> DataFrame:
-    """Lines above and of the header are taken to the driver and left out by text."""
+    """One file, read as text by position.
+
+    Rows up to the header are left out by their place in the file, so a row that
+    repeats one of them stays. Blank header cells become placeholder columns, so
+    the cells to the right keep theirs. Quoted cells may hold line breaks.
+    """
     lines = spark.read.text(path)
-    head = [row["value"] for row in lines.limit(header_row + 1).collect()]
-    if len(head) <= header_row:
+    if len(lines.inputFiles()) > 1:
+        raise ValueError(f"{path} is more than one file; give one file per input")
+    head = [row["value"] for row in lines.take(HEADER_LINES + header_row)]
+    rows = list(csv.reader(line + "\n" for line in head))
+    if len(rows) <= header_row:
         raise ValueError(f"{path} has no header in line {header_row + 1}")
-    names = [n.strip().lstrip("\ufeff") for n in next(csv.reader([head[header_row]]))]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names if n])
-    body = lines.filter(~F.col("value").isin(head) & (F.trim("value") != ""))
-    parsed = F.from_csv(F.col("value"), F.lit(_ddl(schema)), {"mode": "PERMISSIVE"})
-    cells = body.select(parsed.alias("row")).select("row.*")
-    return cells.select(*[blank_to_null(F.col(f"`{n}`")).alias(n) for n in cells.columns])
-
-
-def _ddl(schema: T.StructType) -> str:
-    return ", ".join(f"`{f.name}` string" for f in schema.fields)
+    # The CSV source leaves out empty lines, so they have no place among its rows.
+    place = sum(1 for row in rows[:header_row] if row)
+    cells = [c.strip().lstrip("\ufeff") for c in rows[header_row]]
+    names = [c or f"__blank_{i}" for i, c in enumerate(cells)]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    raw = spark.read.schema(schema).csv(path, header=False, multiLine=True, quote='"', escape='"')
+    body = raw.withColumn("__place", F.monotonically_increasing_id())
+    body = body.filter(F.col("__place") > place).drop("__place")
+    return body.select(*[blank_to_null(F.col(f"`{n}`")).alias(n) for n, c in zip(names, cells) if c])
