@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanewright.llm.common import CACHE_WORDS, stage, text_chunks
+from lanewright.sources.staging import Stage
 
 FIT_ROWS = 12_000
 THRESHOLD = 0.7
@@ -246,7 +247,7 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
 
 
-def word_weights(sample: DataFrame, model) -> dict[str, float]:
+def word_weights(work: Stage, sample: DataFrame, model) -> dict[str, float]:
     """Log odds of words and beginnings that lean to toxic rows, from the fit sample."""
     toxic = F.col("toxic") == 1
     words = (
@@ -255,6 +256,7 @@ def word_weights(sample: DataFrame, model) -> dict[str, float]:
         .groupBy("word")
         .agg(F.count_if(toxic).alias("tp"), F.count_if(~toxic).alias("fp"))
     )
+    words = work.cut(words, "words")
     totals = words.agg(F.sum("tp"), F.sum("fp")).first()
     if not totals[0] or not totals[1]:
         return {}
@@ -326,7 +328,7 @@ def score_documents(
     work = stage(spark, "toxicity")
     model = spark.sparkContext.broadcast(character_model(docs))
     sample = work.cut(fit_sample(docs if fit_on is None else fit_on, labels, fit_rows), "sample")
-    weights = spark.sparkContext.broadcast(word_weights(sample, model))
+    weights = spark.sparkContext.broadcast(word_weights(work, sample, model))
     fit = sample.mapInPandas(
         _evidence_rows(model, weights, ["toxic"]), "toxic int, x0 double, x1 double, x2 double"
     ).toPandas()
