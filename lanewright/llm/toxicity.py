@@ -215,14 +215,18 @@ def _word_neighbours(model):
     """Words of labelled rows with the word before them."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        decoder = Decoder(model.value)
+        decoder, known = Decoder(model.value), {}
         for batch in batches:
             for pdf in text_chunks(batch):
                 rows: dict[tuple[str, str, int], None] = {}
                 for text, toxic in zip(pdf["text"], pdf["toxic"]):
                     before = ""
                     for w in (text or "").lower().split():
-                        core = plain(decoder.read(w) if _TRACES.search(w) else w)
+                        core = known.get(w)
+                        if core is None:
+                            if len(known) >= CACHE_WORDS:
+                                known.clear()
+                            core = known[w] = plain(decoder.read(w) if _TRACES.search(w) else w)
                         if core:
                             rows[core, before, int(toxic)] = None
                             before = core
