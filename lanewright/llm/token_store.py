@@ -128,6 +128,24 @@ _STAND_IN = {b: b for b in _PRINTABLE} | {b: 256 + k for k, b in enumerate(_REST
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿœŒ]+)([.,!?]?)")
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class _ChunkIds(dict):
+    """Chunk to packed ids, filled on first use, with a bounded memory."""
+
+    def __init__(self, ids_of):
+        super().__init__()
+        self.ids_of = ids_of
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        ids = self[chunk] = self.ids_of(chunk)
+        return ids
+
+
 class WordEncoder:
     """A tokenizers file, applied chunk by chunk between ASCII white space.
 
@@ -141,13 +159,13 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.letters = Tokenizer.from_file(path), {}, {}
+        self.tokenizer, self.known, self.letters = Tokenizer.from_file(path), _ChunkIds(self._ids), {}
         self.model, self.marks = self.tokenizer.model, {"": b""}
         for mark in ".,!?":
             self.marks[mark] = self._whole(mark)
 
     def _whole(self, chunk: str) -> bytes:
-        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        return _packed(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
 
     def _ids(self, chunk: bytes) -> bytes:
         text = chunk.decode()
@@ -159,20 +177,16 @@ class WordEncoder:
             letters = letters.encode().decode("latin-1").translate(_STAND_IN)
         ids = self.letters.get(letters)
         if ids is None:
-            ids = np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
-            self.letters[letters] = ids
+            if len(self.letters) >= CACHE_WORDS:
+                self.letters.clear()
+            ids = self.letters[letters] = _packed([t.id for t in self.model.tokenize(letters)])
         return ids + self.marks[simple[2]]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [(t or "").encode().split() for t in texts]
-        if len(self.known) >= CACHE_WORDS:
-            self.known.clear()
-        if len(self.letters) >= CACHE_WORDS:
-            self.letters.clear()
-        for w in {w for words in split for w in words} - self.known.keys():
-            self.known[w] = self._ids(w)
         get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in split]
+        return [
+            np.frombuffer(b"".join(map(get, (t or "").encode().split())), "<u4") for t in texts
+        ]
 
 
 def write_tokens(docs: DataFrame, *, tokenizer_path: str, end_id: int) -> DataFrame:
