@@ -45,11 +45,17 @@ def _side(mv: str, issue: str, returned: str) -> str:
     return f"CASE {mv} WHEN 'Issue' THEN {issue} WHEN 'Return' THEN {returned} ELSE '' END"
 
 
-def _depots(days: int) -> str:
+def _trailing(unit: str, n: int | None) -> str:
+    if n is None:
+        return "date_to IS NOT NULL"
+    return f"date_diff('{unit}', CAST(date_to AS DATE), {_DAY}) <= {n}"
+
+
+def _depots(days: int | None) -> str:
     return f"""
 SELECT mv2 AS movetype, {_side("mv2", "ccode", "bcode")} AS customer,
   count(DISTINCT {_side("mv2", "bcode", "ccode")}) AS number_of_depots
-FROM ship_ends WHERE date_diff('day', CAST(date_to AS DATE), {_DAY}) <= {days} GROUP BY 1, 2"""
+FROM ship_ends WHERE {_trailing("day", days)} GROUP BY 1, 2"""
 
 
 REL["nod_raw"] = _depots(PARAMS.days_depots)
@@ -80,7 +86,7 @@ FROM (
     ON r.customer_code = f.loccode)"""
 
 
-def _loads(days: int) -> str:
+def _loads(days: int | None) -> str:
     return f"""
 SELECT *, CASE WHEN (cpu_loads > 0 AND dedicated_loads > 0) OR (cpu_loads > 0 AND other_loads > 0)
     OR (dedicated_loads > 0 AND other_loads > 0) THEN 'Split' ELSE '' END AS split_flag
@@ -92,12 +98,12 @@ FROM (
     CAST(count(*) FILTER (scac IN {_DED}) AS BIGINT) AS dedicated_loads,
     CAST(count(*) FILTER (scac NOT IN {_BOTH}) AS BIGINT) AS other_loads
   FROM ship_ends
-  WHERE date_diff('day', CAST(date_to AS DATE), {_DAY}) <= {days} AND status <> 5
+  WHERE {_trailing("day", days)} AND status <> 5
     AND left(tnumber, 3) <> 'DDT' AND scac IS NOT NULL
   GROUP BY 1, 2, 3, 4, 5, 6)"""
 
 
-def _costs(months: int) -> str:
+def _costs(months: int | None) -> str:
     return f"""
 SELECT mv3 AS movetype, {_side("mv3", "bcode", "ccode")} AS depot,
   {_side("mv3", "ccode", "bcode")} AS customer, bcode || '-' || ccode AS lane_id, scac,
@@ -109,7 +115,7 @@ SELECT mv3 AS movetype, {_side("mv3", "bcode", "ccode")} AS depot,
   sum(qty_from * -1) AS volume, count(qty_from) AS total_loads,
   sum(coalesce(inv_fuel, 0)) AS ttl_fuel_cost, sum(coalesce(inv_linehaul, 0)) AS ttl_lh_cost
 FROM ship_ends
-WHERE date_diff('month', CAST(date_to AS DATE), {_DAY}) <= {months} AND status <> 5
+WHERE {_trailing("month", months)} AND status <> 5
   AND left(tnumber, 3) <> 'DDT' AND distance IS NOT NULL
 GROUP BY ALL"""
 
@@ -798,7 +804,7 @@ FROM carrier_loads0 GROUP BY GROUPING SETS ((movetype, lane_id, scac), (movetype
   count(*) FILTER (scac NOT IN {_CPU_LIST} AND scac NOT IN {_DED_LIST}) AS other_loads
 FROM shipments GROUP BY 1""",
     "agg_having": "SELECT * FROM carrier_loads1",
-    "agg_count_distinct": _depots(10_000),
+    "agg_count_distinct": _depots(None),
     "agg_null_default": """SELECT location_from, count(*) AS load_count,
   avg(coalesce(qty_to, 0)) AS average_cube FROM shipments GROUP BY 1""",
     "agg_guarded_cost": f"""SELECT location_from, round(sum({_COST}), 2) AS ttl_cost

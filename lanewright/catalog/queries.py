@@ -430,7 +430,7 @@ def agg_having(i: Inputs) -> DataFrame:
 @query
 def agg_count_distinct(i: Inputs) -> DataFrame:
     """Distinct depots per customer over all of history."""
-    return history.depots_per_customer(i.shipments, i.locations, AS_OF, 10_000)
+    return history.depots_per_customer(i.shipments, i.locations, AS_OF, None)
 
 
 @query
@@ -959,7 +959,7 @@ def msrc_resolve(i: Inputs) -> DataFrame:
 
 @query
 def msrc_flag(i: Inputs) -> DataFrame:
-    resolved = _resolved(i)
+    resolved = staging.Stage(i.spark).cut(_resolved(i), "resolved")
     issues = multisource.flag_fulfillment(i.customerfulfillmentpolicies, resolved)
     moves = multisource.flag_replenishment(i.replenishmentpolicies, resolved)
     parts = [

@@ -35,7 +35,7 @@ RAW_TABLES = tuple(RAW_SCHEMAS)
 AS_OF = dt.date(2001, 8, 1)
 # Lanes of these views are thin, so rates look at all of history and at lanes
 # with two loads or more.
-PARAMS = Params(code_length=13, min_loads=1, days_lane_loads=10_000, months_costs=300)
+PARAMS = Params(code_length=13, min_loads=1, days_lane_loads=None, months_costs=None)
 
 
 def _code(letter: str, key: str) -> str:

@@ -61,17 +61,22 @@ def carrier_class(scac: Column, cpu, dedicated) -> Column:
     )
 
 
-def within_days(moment: Column, as_of: dt.date, days: int) -> Column:
+def within_days(moment: Column, as_of: dt.date, days: int | None) -> Column:
     """At most ``days`` before ``as_of``. Later moments pass, missing ones do not.
 
     Stated as a bound on the raw column, so it reaches the scan as a pushed
-    filter and prunes partitions. The same holds for ``within_months``.
+    filter and prunes partitions. ``None`` means no bound. The same holds for
+    ``within_months``.
     """
+    if days is None:
+        return moment.isNotNull()
     return moment >= F.lit(as_of - dt.timedelta(days=days))
 
 
-def within_months(moment: Column, as_of: dt.date, months: int) -> Column:
+def within_months(moment: Column, as_of: dt.date, months: int | None) -> Column:
     """At most ``months`` month boundaries before ``as_of``."""
+    if months is None:
+        return moment.isNotNull()
     first = as_of.year * 12 + as_of.month - 1 - months
     return moment >= F.lit(dt.date(first // 12, first % 12 + 1, 1))
 

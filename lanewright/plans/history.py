@@ -88,7 +88,7 @@ def _with_carrier(df: DataFrame, carrier_types: DataFrame) -> DataFrame:
 
 
 def depots_per_customer(
-    shipments: DataFrame, locations: DataFrame, as_of: dt.date, days: int = 90
+    shipments: DataFrame, locations: DataFrame, as_of: dt.date, days: int | None = 90
 ) -> DataFrame:
     """Distinct depots that served each customer: movetype, customer, number_of_depots."""
     lanes = (
@@ -130,7 +130,7 @@ def depots_by_model_id(
 
 
 def load_sizes(
-    shipments: DataFrame, locations: DataFrame, as_of: dt.date, days: int = 60
+    shipments: DataFrame, locations: DataFrame, as_of: dt.date, days: int | None = 60
 ) -> DataFrame:
     """Loads and average quantity per movetype and customer."""
     kept = live_shipments(shipments).filter(
@@ -190,7 +190,7 @@ def lane_loads(
     locations: DataFrame,
     carrier_types: DataFrame,
     as_of: dt.date,
-    days: int = 60,
+    days: int | None = 60,
 ) -> DataFrame:
     """Loads per lane and carrier class, and whether classes share the lane."""
     kept = live_shipments(shipments).filter(
@@ -253,7 +253,7 @@ def lane_costs(
     locations: DataFrame,
     carrier_types: DataFrame,
     as_of: dt.date,
-    months: int = 3,
+    months: int | None = 3,
 ) -> DataFrame:
     """Cost, volume and loads per shipment, lane and carrier.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lanewright.functions.nulls import blank_to_null, to_double
-from lanewright.specs import MODEL_TABLES, SideInputSpec, TableSpec
+from lanewright.specs import MODEL_TABLES, UNREADABLE, SideInputSpec, TableSpec
 
 
 def read_model(
@@ -84,23 +84,26 @@ def read_side_input(
     *,
     fmt: str = "csv",
     headers: Mapping[str, str] | None = None,
+    list_unreadable: bool = False,
 ) -> DataFrame:
     """A hand-kept table, as CSV (``fmt="csv"``) or as a typed file format.
 
     CSV is read as text with a declared schema. Lines above the header and the
     header itself are skipped by position. ``headers`` adds or overrides header
-    texts of ``spec.columns``.
+    texts of ``spec.columns``. Numbers that cannot be read become null; with
+    ``list_unreadable`` they are listed in the column ``UNREADABLE``, which the
+    gate reports.
     """
     columns = {**spec.columns, **(headers or {})}
     if fmt == "csv":
         raw = _read_csv_with_offset(spark, path, spec.header_row).dropna("all")
     else:
         raw = spark.read.format(fmt).load(path)
-    return typed_side_input(raw, spec, columns)
+    return typed_side_input(raw, spec, columns, list_unreadable)
 
 
 def typed_side_input(
-    raw: DataFrame, spec: SideInputSpec, columns: Mapping[str, str] | None = None
+    raw: DataFrame, spec: SideInputSpec, columns: Mapping[str, str] | None = None, list_unreadable: bool = False
 ) -> DataFrame:
     """Plan names, text keys with nulls kept as nulls, numbers as doubles."""
     columns = columns or {c: c for c in spec.columns.values()}
@@ -112,7 +115,21 @@ def typed_side_input(
             return to_double(value).alias(new)
         return blank_to_null(value).alias(new)
 
-    return raw.select(*[cell(old, new) for old, new in present])
+    cells = [cell(old, new) for old, new in present]
+    if list_unreadable:
+        bad = [
+            F.when(
+                blank_to_null(F.col(f"`{old}`")).isNotNull() & to_double(F.col(f"`{old}`")).isNull(),
+                F.struct(
+                    F.lit(new).alias("column_name"), F.col(f"`{old}`").cast("string").alias("value")
+                ),
+            )
+            for old, new in present
+            if new in spec.numeric
+        ]
+        none = F.array().cast("array<struct<column_name:string,value:string>>")
+        cells.append((F.array_compact(F.array(*bad)) if bad else none).alias(UNREADABLE))
+    return raw.select(*cells)
 
 
 HEADER_LINES = 200  # lines looked at for the header

@@ -64,20 +64,27 @@ def publish(
 ) -> dict[str, int]:
     """Write a full new snapshot, then make it current.
 
-    All tables are written under ``root/runs/<run_id>`` first. Appending the
+    All tables are written, as concurrent jobs, under ``root/runs/<run_id>`` first. Appending the
     manifest rows is one small commit, so readers see the old snapshot whole
     until it lands, and a failed run leaves the old one in place. Row counts
     are observed during the writes.
     """
     run_id = run_id or uuid.uuid4().hex
     root = root.rstrip("/")
-    counts: dict[str, int] = {}
     spark = next(iter(tables.values())).sparkSession
-    for name, df in tables.items():
+
+    def write(name: str, df: DataFrame) -> int:
         seen = Observation(f"rows of {name}")
         counted = df.drop("index").observe(seen, F.count(F.lit(1)).alias("n"))
         counted.write.mode("errorifexists").parquet(f"{root}/runs/{run_id}/{name}")
-        counts[name] = seen.get["n"]
+        return seen.get["n"]
+
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        jobs = {
+            name: pool.submit(inheritable_thread_target(spark)(write), name, df)
+            for name, df in tables.items()
+        }
+        counts = {name: job.result() for name, job in jobs.items()}
     manifest = spark.createDataFrame(
         [(run_id, name, n) for name, n in counts.items()],
         "run_id string, table_name string, n_rows bigint",

@@ -25,10 +25,11 @@ class Params:
     duty_us_to_canada: float = 5.0
     duty_canada_to_us: float = 5.6
 
-    days_depots: int = 90
-    days_load_size: int = 60
-    days_lane_loads: int = 60
-    months_costs: int = 3
+    # Trailing windows; None means all of history.
+    days_depots: int | None = 90
+    days_load_size: int | None = 60
+    days_lane_loads: int | None = 60
+    months_costs: int | None = 3
     min_line_haul: float = 100.0
     min_loads: int = 5
 
@@ -145,6 +146,10 @@ MODEL_TABLES: dict[str, TableSpec] = {
 }
 
 
+# Cells of a side input that should be numbers and are not: array of (column_name, value).
+UNREADABLE = "__unreadable"
+
+
 @dataclass(frozen=True)
 class SideInputSpec:
     """One hand-kept input: where its header is, its names, and its rules.

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
+from pyspark.sql import functions as F
 
+from lanewright.functions.shipments import within_days, within_months
 from lanewright.operators.lookup import lookup
+from lanewright.operators.quality import gate_report
 from lanewright.operators.reconcile import key_diff, normalize
 from lanewright.plans.depots import inventory_limits
 from lanewright.plans.lanes import transport_places
-from lanewright.sources.readers import _read_csv_with_offset
+from lanewright.sources.readers import _read_csv_with_offset, read_side_input
+from lanewright.specs import SideInputSpec
 
 
 def test_csv_rows_are_dropped_by_position_only(spark, tmp_path, rows):
@@ -63,3 +69,31 @@ def test_number_like_keys_and_undeclared_columns_agree(spark, rows):
     a, b = normalize(old), normalize(new)
     assert rows(a) == rows(b) == [("560", "5", "01")]
     assert key_diff(a, b, ["k"]).count() == 0
+
+
+def test_gate_reports_absent_columns_and_unreadable_numbers(spark, tmp_path, rows):
+    path = tmp_path / "sheet.csv"
+    path.write_text("Key,Cost,Rate\na,$5.00,1\nb,,2\nc,7,x\nd,7,x\n")
+    columns = {"Key": "key", "Cost": "cost", "Rate": "rate", "Mode": "mode"}
+    spec = SideInputSpec(
+        "sheet", 0, columns, ("key",), numeric=("cost", "rate"), required=("mode", "rate"),
+        one_to_one=(("key", "mode"),), allowed={"mode": ("x",)},
+    )
+    sheet = read_side_input(spark, str(path), spec, list_unreadable=True)
+    got = rows(gate_report({"sheet": sheet}, {"sheet": spec}))
+    assert got == sorted(
+        [
+            ("sheet", "absent_column", "mode", 1, 1),
+            ("sheet", "missing_values", "rate", 1, 2),
+            ("sheet", "unreadable_number", "cost", 1, 1),
+            ("sheet", "unreadable_number", "rate", 1, 2),
+        ],
+        key=repr,
+    )
+
+
+def test_no_window_means_all_of_history(spark, rows):
+    days = spark.createDataFrame([("1970-01-01",), ("2030-01-01",), (None,)], "d string")
+    moment = days.select(F.to_date("d").alias("d"))
+    for within in (within_days, within_months):
+        assert moment.filter(within(F.col("d"), dt.date(2001, 8, 1), None)).count() == 2
