@@ -18,7 +18,9 @@ from __future__ import annotations
 
 import json
 import re
+import string
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -124,25 +126,36 @@ def unpack_file(data: bytes) -> tuple[np.ndarray, np.ndarray, Codes]:
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _REST = [b for b in range(256) if b not in _PRINTABLE]
 _STAND_IN = {b: b for b in _PRINTABLE} | {b: 256 + k for k, b in enumerate(_REST)}
-# Letters that are in composed form and have one lower-case letter each, then marks.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿœŒ]+)([.,!?]?)")
+# Letters that are in composed form and have one lower-case letter each.
+_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿœŒ]+")
+
+# Marks the splitter keeps together in one piece; an apostrophe may start a suffix instead.
+_MARKS = string.punctuation.replace("'", "").encode()
 
 
 def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return array("I", ids).tobytes()
 
 
 class _ChunkIds(dict):
-    """Chunk to packed ids, filled on first use, with a bounded memory."""
+    """Chunk to packed ids, filled on first use, with a bounded memory.
+
+    A full memory becomes the older half; what is asked for again moves back
+    to the younger one, so common chunks outlive the rare ones around them.
+    """
 
     def __init__(self, ids_of):
         super().__init__()
-        self.ids_of = ids_of
+        self.ids_of, self.older = ids_of, {}
 
-    def __missing__(self, chunk: bytes) -> bytes:
-        if len(self) >= CACHE_WORDS:
+    def __missing__(self, chunk):
+        if len(self) >= CACHE_WORDS // 2:
+            self.older = dict(self)
             self.clear()
-        ids = self[chunk] = self.ids_of(chunk)
+        ids = self.older.get(chunk)
+        if ids is None:
+            ids = self.ids_of(chunk)
+        self[chunk] = ids
         return ids
 
 
@@ -151,41 +164,42 @@ class WordEncoder:
 
     The tokenizer drops white space and never looks across it, so the ids of a
     text are those of its chunks, and a chunk is encoded once while it stays in
-    the bounded cache. A chunk of plain letters, with a mark or none, goes
-    straight to the library's BPE model, as the normaliser and the splitter
-    would hand it over; every other chunk goes through the whole tokenizer.
+    the bounded cache. A chunk of plain letters, with marks or none, has its
+    letters sent straight to the library's BPE model, as the normaliser and the
+    splitter would hand them over; every other chunk goes through the whole
+    tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.letters = Tokenizer.from_file(path), _ChunkIds(self._ids), {}
-        self.model, self.marks = self.tokenizer.model, {"": b""}
-        for mark in ".,!?":
-            self.marks[mark] = self._whole(mark)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.known, self.letters = _ChunkIds(self._ids), _ChunkIds(self._letter_ids)
+        self.tokenize = self.tokenizer.model.tokenize
+        self.marks = _ChunkIds(lambda mark: self._whole(mark.decode()))
 
     def _whole(self, chunk: str) -> bytes:
         return _packed(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
 
+    def _letter_ids(self, letters: str) -> bytes:
+        return _packed([t.id for t in self.tokenize(letters)])
+
     def _ids(self, chunk: bytes) -> bytes:
-        text = chunk.decode()
-        simple = _PLAIN.fullmatch(text)
-        if not simple:
-            return self._whole(text)
-        letters = simple[1].lower()
-        if not letters.isascii():
-            letters = letters.encode().decode("latin-1").translate(_STAND_IN)
-        ids = self.letters.get(letters)
-        if ids is None:
-            if len(self.letters) >= CACHE_WORDS:
-                self.letters.clear()
-            ids = self.letters[letters] = _packed([t.id for t in self.model.tokenize(letters)])
-        return ids + self.marks[simple[2]]
+        word = chunk.rstrip(_MARKS)
+        if word.isalpha():  # of bytes: ASCII letters only
+            letters = word.lower().decode()
+        else:
+            text = word.decode()
+            if not _PLAIN.fullmatch(text):
+                return self._whole(chunk.decode())
+            letters = text.lower().encode().decode("latin-1").translate(_STAND_IN)
+        ids = self.letters[letters]
+        return ids + self.marks[chunk[len(word) :]] if len(word) < len(chunk) else ids
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         get = self.known.__getitem__
         return [
-            np.frombuffer(b"".join(map(get, (t or "").encode().split())), "<u4") for t in texts
+            np.frombuffer(b"".join(map(get, (t or "").encode().split())), np.uint32) for t in texts
         ]
 
 

@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
+from lanewright.llm import token_store
 from lanewright.llm.piece_bpe import PieceModel
 from lanewright.llm.token_store import Codes, WordEncoder, pack_file, unpack_file
 
@@ -18,6 +19,8 @@ def odd_texts():
     letters = "ab aab  tthein  er\t\né😀ab▁xyz0aaa"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(1500)]
     texts += ["a" * 3000, "ab" * 2000, " " * 3000, "", "😀" * 50, "thethe" * 500, None, "x 　 y"]
+    marks = "ab Éß '!.,#$%<|>-_´…“s t ll 1"
+    texts += ["".join(rng.choice(marks) for _ in range(rng.randint(0, 40))) for _ in range(1500)]
     return texts + ["the end <|endoftext|> x", "é É ́a İ ΑΣ", "<s> </s> <unk> <0x41>", "a\u0000b"]
 
 
@@ -39,6 +42,11 @@ def test_words_equal_the_library():
     assert [x.tolist() for x in mine] == [e.ids for e in theirs]
 
 
+def test_words_equal_the_library_past_a_full_memory(monkeypatch):
+    monkeypatch.setattr(token_store, "CACHE_WORDS", 8)
+    test_words_equal_the_library()
+
+
 @pytest.mark.parametrize("top", [1, 200, 49408, 2**31])
 def test_codes_give_any_token(top):
     ids = np.random.default_rng(0).integers(0, top, 3000).astype(np.uint32)
