@@ -718,6 +718,18 @@ _UPDATE = """SELECT o_orderkey, o_custkey, {} AS o_totalprice, o_orderpriority F
 
 TEXTS: dict[str, str] = {
     "src_model_snapshot": f"SELECT {_ISSUE}, unitcost, distance FROM customerfulfillmentpolicies",
+    "src_model_tables": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, '*' AS column_name, count(*) AS n_values,"
+        f" CAST(NULL AS DOUBLE) AS total FROM {name} HAVING count(*) > 0"
+        + (
+            f""" UNION ALL SELECT '{name}', cell, count(*), round(sum(v), 2) FROM (
+  SELECT CAST(COLUMNS('^({"|".join(spec.numeric)})$') AS DOUBLE) FROM {name})
+  UNPIVOT (v FOR cell IN (COLUMNS(*))) GROUP BY ALL"""
+            if spec.numeric
+            else ""
+        )
+        for name, spec in MODEL_TABLES.items()
+    ),
     "src_side_input_typed": "SELECT * FROM depot_assumptions",
     "snk_roundtrip": "SELECT * FROM transportationpolicies",
     "prj_rename_select": """SELECT 'Issue' AS movetype, loccode AS customer,
@@ -886,6 +898,14 @@ UNION ALL
 SELECT 'status', CAST(status AS VARCHAR), count(*) FROM shipments
 WHERE status IS NULL OR status NOT IN (1, 3) GROUP BY status""",
     "dq_gate_report": _gate(),
+    "dq_unreadable": """
+SELECT 'sheet' AS input, 'unreadable_number' AS check, 'cost' AS column_name,
+  count(DISTINCT CASE WHEN s_suppkey % 7 = 0 THEN CAST(s_acctbal AS VARCHAR) ELSE 'n/a' END)
+    AS n_values, count(*) AS n_rows
+FROM supplier WHERE s_suppkey % 7 = 0 OR s_suppkey % 11 = 0 HAVING count(*) > 0
+UNION ALL
+SELECT 'customerdemand', 'unreadable_period', 'periodname', 1, count(*)
+FROM customerdemand WHERE customername LIKE '%7' HAVING count(*) > 0""",
     "rec_column_diff": """SELECT 'new_only' AS side, 'o_orderdate' AS column_name,
   count(o_orderdate) AS n_values FROM orders_new""",
     "rec_row_counts": """SELECT o AS n_old, n AS n_new, o - n AS n_diff
@@ -931,6 +951,14 @@ FROM a JOIN b USING (o_orderkey) WHERE a.o_orderpriority IS DISTINCT FROM b.o_or
     "rec_summary": _summary(
         "orders", "orders_old", "(SELECT * EXCLUDE (o_orderdate) FROM orders_new)", _ORDERS, 1
     ),
+    "rec_numeric_keys": """
+SELECT 'part' AS table_name, check_name, CASE n WHEN 0 THEN 'PASS' ELSE 'DIFF' END AS status,
+  CAST(n AS BIGINT) AS n_found
+FROM (SELECT count(*) FILTER (p_partkey % 10 = 0) AS gone,
+    count(*) FILTER (p_partkey % 10 <> 0 AND p_partkey % 4 = 0) AS changed FROM part),
+  LATERAL (VALUES ('columns', 0), ('row_count', gone), ('duplicates_old', 0),
+    ('duplicates_new', 0), ('keys_old_only', gone), ('keys_new_only', 0),
+    ('changed_cells', changed)) AS v(check_name, n)""",
     "hist_depots_per_customer": "SELECT * FROM nod",
     "hist_load_size": "SELECT * FROM sizes",
     "hist_lane_loads": "SELECT * FROM loads60",
@@ -1003,5 +1031,20 @@ FROM ({preferred_pairs("replenishmentpolicies")})""",
     ),
 }
 
+_KEY = """'{"o_orderkey":' || o_orderkey || '}' AS key"""
+TEXTS["snk_report"] = f"""
+SELECT 'key_diff' AS kind, 'orders' AS table_name, {_KEY}, side, NULL AS "row",
+  NULL AS column_name, NULL AS old_value, NULL AS new_value FROM ({TEXTS["rec_key_diff"]})
+UNION ALL
+SELECT 'duplicates', 'orders', {_KEY}, 'old', CAST(to_json({{'o_orderkey': o_orderkey,
+    'o_custkey': o_custkey, 'o_orderstatus': nullif(o_orderstatus, ''),
+    'o_totalprice': {_OLD_PRICE}, 'o_orderpriority': nullif(o_orderpriority, '')}}) AS VARCHAR),
+  NULL, NULL, NULL
+FROM (SELECT *, count(*) OVER (PARTITION BY o_orderkey) AS n FROM orders_old) WHERE n > 1
+UNION ALL
+SELECT 'cell_diff', 'orders', {_KEY}, NULL, NULL, column_name, old_value, new_value
+FROM ({TEXTS["rec_cell_diff"]})"""
+TEXTS["refresh_published"] = TEXTS["refresh_reconciled"]
+
 _KNOWN = {**VIEWS, **REL}
 ORACLE: dict[str, str] = {name: with_clause(text, _KNOWN) for name, text in TEXTS.items()}

@@ -27,7 +27,7 @@ from lanewright.plans import (
     transfers,
 )
 from lanewright.sources import readers, staging
-from lanewright.specs import MODEL_TABLES, SIDE_INPUTS, TableSpec
+from lanewright.specs import MODEL_TABLES, SIDE_INPUTS, SideInputSpec, TableSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -85,6 +85,40 @@ def src_model_snapshot(i: Inputs) -> DataFrame:
     return typed.select("customername", "productname", "sourcename", "unitcost", "distance")
 
 
+@query
+def src_model_tables(i: Inputs) -> DataFrame:
+    """All model tables stored as text, read typed: rows, and values and total of each number."""
+    stage = staging.Stage(i.spark)
+    stage.cut_all(
+        {
+            name: df.select(
+                F.monotonically_increasing_id().alias("id"),
+                *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns],
+            )
+            for name, df in i.model().items()
+        }
+    )
+    parts = []
+    for name, df in readers.read_model(i.spark, stage.root).items():
+        numbers = [c for c in MODEL_TABLES[name].numeric if c in df.columns]
+        none = F.lit(None).cast("double")
+        found = [("*", F.count(F.lit(1)), none)]
+        found += [(c, F.count(c), F.round(F.sum(c), 2)) for c in numbers]
+        facts = df.agg(*[v.alias(f"n{k}") for k, (_, v, _t) in enumerate(found)],
+                       *[t.alias(f"t{k}") for k, (_, _v, t) in enumerate(found) if k])
+        lines = [
+            F.struct(
+                F.lit(name).alias("table_name"),
+                F.lit(c).alias("column_name"),
+                F.col(f"n{k}").alias("n_values"),
+                (F.col(f"t{k}") if k else none).alias("total"),
+            )
+            for k, (c, _v, _t) in enumerate(found)
+        ]
+        parts.append(facts.select(F.inline(F.array(*lines))).filter("n_values > 0"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def src_side_input_typed(i: Inputs) -> DataFrame:
     """A side input under its header texts, all text, read typed."""
@@ -105,6 +139,21 @@ def snk_roundtrip(i: Inputs) -> DataFrame:
     return current["transportationpolicies"]
 
 
+@query
+def snk_report(i: Inputs) -> DataFrame:
+    """Reconciliation details written by kind and table, and read back."""
+    stage = staging.Stage(i.spark)
+    details = reconcile.report(
+        {"orders": i.orders_old}, {"orders": i.orders_new}, {"orders": ORDERS_SPEC}, stage
+    )
+    staging.write_report(details, f"{stage.root}/report")
+    parts = [
+        i.spark.read.parquet(f"{stage.root}/report/{kind}").withColumn("kind", F.lit(kind))
+        for kind in details
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 # --- projections, filters, predicates ----------------------------------------
 
 
@@ -641,6 +690,23 @@ def dq_gate_report(i: Inputs) -> DataFrame:
     return quality.gate_report(staging.Stage(i.spark).cut_all(i.side()), SIDE_INPUTS)
 
 
+SHEET = SideInputSpec("sheet", 0, {"Key": "key", "Cost": "cost"}, ("key",), numeric=("cost",))
+
+
+@query
+def dq_unreadable(i: Inputs) -> DataFrame:
+    """Numbers and periods that cannot be read are broken rules, not nulls."""
+    key, cost = F.col("s_suppkey"), F.col("s_acctbal").cast("string")
+    odd = F.when(key % 7 == 0, F.concat(F.lit("$"), cost)).when(key % 11 == 0, "n/a")
+    raw_sheet = i.raw_supplier.select(
+        key.cast("string").alias("Key"), F.coalesce(odd, cost).alias("Cost")
+    )
+    sheet = readers.typed_side_input(raw_sheet, SHEET, SHEET.columns, list_unreadable=True)
+    month = F.when(F.col("customername").endswith("7"), "Jan").otherwise(F.col("periodname"))
+    demand = i.customerdemand.withColumn("periodname", month)
+    return quality.gate_report({"sheet": sheet}, {"sheet": SHEET}, {"customerdemand": demand})
+
+
 # --- reconciliation ----------------------------------------------------------
 
 
@@ -687,6 +753,19 @@ def rec_summary(i: Inputs) -> DataFrame:
     )
 
 
+@query
+def rec_numeric_keys(i: Inputs) -> DataFrame:
+    """Keys and an undeclared column as 560 on one side and 560.0 on the other."""
+    key, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    old = i.raw_part.select(key.alias("part"), size.alias("size"), "p_brand")
+    new = i.raw_part.filter(F.col("p_partkey") % 10 != 0).select(
+        F.concat(key, F.lit(".0")).alias("part"),
+        F.concat(size, F.when(F.col("p_partkey") % 3 == 0, ".00").otherwise(".0")).alias("size"),
+        F.when(F.col("p_partkey") % 4 == 0, "other").otherwise(F.col("p_brand")).alias("p_brand"),
+    )
+    return reconcile.summary({"part": old}, {"part": new}, {"part": TableSpec("part", ("part",))})
+
+
 # --- history -----------------------------------------------------------------
 
 
@@ -1058,3 +1137,13 @@ def refresh_reconciled(i: Inputs) -> DataFrame:
     """Refresh all tables, then reconcile old against new over all of them."""
     old, new = _refresh(i, refresh.PUBLISHED)
     return reconcile.summary(old, new, MODEL_TABLES)
+
+
+@query
+def refresh_published(i: Inputs) -> DataFrame:
+    """Publish the old tables and the refreshed ones, read both back, and reconcile them."""
+    root = f"{staging.Stage(i.spark).root}/published"
+    for tables in _refresh(i, refresh.PUBLISHED):
+        staging.publish(tables, root)
+    old, new = (staging.read_published(i.spark, root, back=back) for back in (1, 0))
+    return reconcile.summary(old, new, MODEL_TABLES)

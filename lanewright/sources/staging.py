@@ -36,7 +36,9 @@ class Stage:
     """Cuts lineage by writing a table to the shared folder and reading it back.
 
     A lost executor then costs the running step only, later steps read columns
-    they need, and Spark knows the size of the table when it picks joins.
+    they need, and Spark knows the size of the table when it picks joins. As a
+    context manager it deletes its tables at the end; nothing read from them may
+    be used after that.
     """
 
     def __init__(self, spark: SparkSession, run_id: str | None = None):
@@ -44,6 +46,17 @@ class Stage:
         self.run_id = run_id or uuid.uuid4().hex
         self.root = f"{shared_folder(spark)}/lanewright/{self.run_id}"
 
+    def __enter__(self) -> Stage:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.drop()
+
+    def drop(self) -> None:
+        """Delete what this run wrote, and nothing else."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def cut(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").parquet(path)

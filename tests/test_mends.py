@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from lanewright.catalog.queries import Inputs
+from lanewright.catalog.views import AS_OF
 from lanewright.functions.shipments import within_days, within_months
 from lanewright.operators.lookup import lookup
-from lanewright.operators.quality import gate_report
-from lanewright.operators.reconcile import key_diff, normalize
+from lanewright.operators.quality import ValidationError, gate_report, unreadable_periods
+from lanewright.operators.reconcile import key_diff, normalize, report
 from lanewright.plans.depots import inventory_limits
 from lanewright.plans.lanes import transport_places
+from lanewright.plans.refresh import refresh
 from lanewright.sources.readers import _read_csv_with_offset, read_side_input
-from lanewright.specs import SideInputSpec
+from lanewright.sources.staging import Stage, publish
+from lanewright.specs import SideInputSpec, TableSpec
 
 
 def test_csv_rows_are_dropped_by_position_only(spark, tmp_path, rows):
@@ -97,3 +102,58 @@ def test_no_window_means_all_of_history(spark, rows):
     moment = days.select(F.to_date("d").alias("d"))
     for within in (within_days, within_months):
         assert moment.filter(within(F.col("d"), dt.date(2001, 8, 1), None)).count() == 2
+
+
+def test_a_stage_deletes_its_own_tables_only(spark, tmp_path):
+    with Stage(spark) as kept:
+        kept.cut(spark.range(3), "a")
+        with pytest.raises(RuntimeError), Stage(spark) as stage:
+            assert stage.cut(spark.range(2), "b").count() == 2
+            raise RuntimeError
+        assert not os.path.exists(stage.root) and os.path.exists(kept.root)
+    assert not os.path.exists(kept.root)
+
+
+def test_report_holds_whole_rows_of_repeated_keys(spark, rows):
+    schema = "k string, n double, only string"
+    old = spark.createDataFrame([(None, 1.0, "x"), (None, 2.0, None), ("a", 1.0, "x")], schema)
+    new = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", 3.0), ("b", None)], "k string, n double")
+    keys = spark.createDataFrame([("g", "m")], "g string, m string")
+    specs = {"t": TableSpec("t", ("k",), ("n",)), "u": TableSpec("u", ("g", "m"))}
+    details = report({"t": old, "u": keys}, {"t": new, "u": keys}, specs)
+    assert rows(details["duplicates"], "table_name", "side", "row") == sorted(
+        [
+            ("t", "old", '{"k":null,"n":1.0,"only":"x"}'),
+            ("t", "old", '{"k":null,"n":2.0,"only":null}'),
+            ("t", "new", '{"k":"a","n":1.0}'),
+            ("t", "new", '{"k":"a","n":3.0}'),
+            ("t", "new", '{"k":"a","n":3.0}'),
+        ],
+        key=repr,
+    )
+    assert rows(details["key_diff"], "key", "side") == [
+        ('{"k":"a"}', "left_only"),
+        ('{"k":"b"}', "right_only"),
+    ]
+    assert details["cell_diff"].count() == 0
+
+
+def test_unreadable_period_is_a_broken_rule(spark, rows):
+    demand = spark.createDataFrame(
+        [("Jan", 1.0), ("Jan", 2.0), (None, 1.0), ("P01", 1.0), ("2024-12", 1.0)],
+        "periodname string, quantity double",
+    )
+    assert rows(unreadable_periods(demand, "demand"), "check", "value", "n_rows") == [
+        ("unreadable_period", "Jan", 2),
+        ("unreadable_period", None, 1),
+    ]
+
+
+def test_a_broken_input_stops_the_refresh_before_it_publishes(spark, sf_dir, tmp_path):
+    i = Inputs(spark, sf_dir)
+    root = str(tmp_path / "published")
+    with Stage(spark) as stage, pytest.raises(ValidationError, match="broken rules"):
+        side = {**i.side(), "rfq_rates": i.rfq_rates.union(i.rfq_rates)}
+        new = refresh(i.model(), side, i.shipments, i.locations, AS_OF, stage=stage)
+        publish(new, root)
+    assert not os.path.exists(root)
