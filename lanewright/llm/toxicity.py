@@ -3,7 +3,10 @@
 Channel: a writer may put a symbol for a letter, repeat letters, or put spaces
 or marks between them. A word with such traces becomes a lattice of letters; a
 Viterbi search finds its likeliest reading under a character trigram model,
-counted over all texts. Both the word and its reading are scored.
+counted over all texts. A space or mark may be dropped or end a word, so a run
+of single letters splits into words; tokens that could together spell a
+weighted word are also tried as one, which must be the likelier reading. The
+word and all words of its reading are scored.
 
 Score: a word and its beginnings carry log odds learned from labelled rows, as
 the number of different neighbours they occur after in toxic and in clean rows,
@@ -50,10 +53,20 @@ STANDS_FOR = {
 _GAPS = ".-_*~'`,:;/\\^"
 _PUNCTUATION = ".,;:!?\"'()[]{}<>*_-~`/\\"
 _SYMBOLS = re.escape("".join(STANDS_FOR))
+_LETTER = r"[^\W\d_]"
+_EITHER = rf"(?:{_LETTER}|[{_SYMBOLS}])"
 _TRACES = re.compile(
-    rf"(.)\1\1|[^\W\d_][{_SYMBOLS}]+[^\W\d_]|^[{_SYMBOLS}]+[^\W\d_]|[^\W\d_][{re.escape('0134578@$')}]+$"
-    rf"|^\W*[^\W\d_](?:[{re.escape(_GAPS)}]+[^\W\d_]){{2,}}\W*$"
+    rf"(.)\1\1|{_LETTER}[{_SYMBOLS}]+{_LETTER}|^[{_SYMBOLS}]+{_LETTER}|{_LETTER}[{re.escape('0134578@$')}]+$"
+    rf"|^(?=.*{_LETTER})\W*?{_EITHER}(?:[{re.escape(_GAPS)}]+{_EITHER}){{2,}}\W*$"
 )
+# Also in plain words: one gap, a doubled letter. Such a word counts beside its reading.
+_SLIGHT = re.compile(rf"({_LETTER})\1|^(?=.*{_LETTER}).*{_EITHER}[{re.escape(_GAPS)}]+{_EITHER}")
+# Symbols and the letters they may stand for as one sign, to find candidates quickly.
+_SIGNS = str.maketrans(
+    {**{c: x[0] for c, x in STANDS_FOR.items()}, "l": "i", "£": "i", "|": "i", "g": "b", "6": "b", "9": "b"}
+    | dict.fromkeys(_GAPS + _PUNCTUATION.translate(str.maketrans("", "", "".join(STANDS_FOR))))
+)
+_REPEATS = re.compile(r"(.)\1+")
 
 # Characters as 64 codes: 0 edge, letters, then all else.
 _CODES = 64
@@ -99,49 +112,63 @@ def character_model(docs: DataFrame) -> np.ndarray:
 
 
 class Decoder:
-    """Likeliest plain reading of a word."""
+    """Likeliest plain reading of a word, or of tokens with spaces between them."""
 
-    KEEP_SYMBOL, AS_LETTER, DROP_GAP, DROP_REPEAT = -4.0, -1.0, -0.5, -0.2
+    KEEP_SYMBOL, AS_LETTER, DROP_GAP, DROP_REPEAT, GAP_ENDS_WORD = -4.0, -1.0, -0.5, -0.2, -1.0
+    JOIN = -4.0  # drops the space beside a token of several letters, here a line feed
+    KNOWN = 4.0  # single letters that spell a weighted word
 
     def __init__(self, model: np.ndarray):
-        self.model = model
+        self.model = np.asarray(model, np.float64).reshape(-1).tolist()
+        self.known: dict[tuple[str, bool], list[tuple[str, float, int]]] = {}
 
-    def _options(self, word: str, i: int) -> list[tuple[str, float]]:
-        c = word[i]
+    def _options(self, c: str, repeat: bool) -> list[tuple[str, float, int]]:
+        """Readings of a character with their cost and code, -1 if it is dropped."""
         options = [(x, self.AS_LETTER) for x in STANDS_FOR.get(c, "")]
         if c.isalpha():
             options.append((c, 0.0))
+        elif c.isspace():
+            options.append((" ", 0.0))
         else:
             options.append((c, self.KEEP_SYMBOL))
         if c in _GAPS or c.isspace():
-            options.append(("", self.DROP_GAP))
-        if i and word[i - 1] == c:
+            options.append(("", self.JOIN if c == "\n" else self.DROP_GAP))
+        if c in _GAPS:
+            options.append((" ", self.GAP_ENDS_WORD))
+        if repeat:
             options.append(("", self.DROP_REPEAT))
-        return options
+        return [(x, cost, int(codes_of(x)[0]) if x else -1) for x, cost in options]
 
     def read(self, word: str) -> str:
-        word = word.lower()
-        best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
-        for i in range(len(word)):
-            step: dict[tuple[int, int], tuple[float, tuple]] = {}
-            options = [(x, cost, int(codes_of(x)[0]) if x else -1) for x, cost in self._options(word, i)]
-            for (a, b), (score, path) in best.items():
+        return self.read_scored(word)[0]
+
+    def read_scored(self, word: str) -> tuple[str, float]:
+        word, model, before = word.lower(), self.model, ""
+        best: dict[int, tuple[float, tuple]] = {0: (0.0, ())}
+        for c in word:
+            options = self.known.get((c, c == before))
+            if options is None:
+                options = self.known[c, c == before] = self._options(c, c == before)
+            before = c
+            step: dict[int, tuple[float, tuple]] = {}
+            for state, (score, path) in best.items():
                 for x, cost, code in options:
                     if code < 0:
-                        state, value, way = (a, b), score + cost, path
+                        to, value, way = state, score + cost, path
                     else:
-                        state = (b, code)
-                        value = score + cost + float(self.model[a, b, code])
+                        to = state % _CODES * _CODES + code
+                        value = score + cost + model[state * _CODES + code]
                         way = (path, x)
-                    if state not in step or value > step[state][0]:
-                        step[state] = (value, way)
+                    if to not in step or value > step[to][0]:
+                        step[to] = (value, way)
             best = step
-        score_end = lambda item: item[1][0] + float(self.model[item[0][0], item[0][1], 0])
-        path, out = max(best.items(), key=score_end)[1][1], []
+        state, (score, path) = max(best.items(), key=lambda e: e[1][0] + model[e[0] * _CODES])
+        score += model[state * _CODES]
+        out = []
         while path:
             path, x = path
             out.append(x)
-        return "".join(reversed(out))
+        return "".join(reversed(out)), score
 
 
 def plain(word: str) -> str:
@@ -153,8 +180,8 @@ def features(word: str) -> list[str]:
     return [word, *[word[:k] + "*" for k in PREFIXES if len(word) >= k]]
 
 
-def spaced_runs(words: list[str]) -> list[str]:
-    """Runs of three or more single letters, joined."""
+def letter_runs(words: list[str]) -> list[list[str]]:
+    """Runs of three or more single letters."""
     runs, own = [], []
     for w in [*words, ".."]:
         core = plain(w) or w
@@ -162,21 +189,33 @@ def spaced_runs(words: list[str]) -> list[str]:
             own.append(core)
         else:
             if len(own) >= 3:
-                runs.append("".join(own))
+                runs.append(own)
             own = []
     return runs
 
 
+def spaced_runs(words: list[str]) -> list[str]:
+    """Runs of three or more single letters, joined."""
+    return ["".join(run) for run in letter_runs(words)]
+
+
+def signs(word: str) -> str:
+    """A word without marks and repeats, symbols and letters alike as one sign."""
+    return _REPEATS.sub(r"\1", plain(word).translate(_SIGNS))
+
+
 class Scorer:
     """Weights of words under a fitted model, with a bounded cache."""
 
     def __init__(self, weights: dict[str, float], model: np.ndarray):
         self.weights, self.decoder, self.known = weights, Decoder(model), {}
+        self.whole = {signs(f) for f in weights if not f.endswith("*")}
+        self.starts = {s[:k] for s in self.whole for k in range(1, len(s))}
 
     def _readings(self, word: str) -> list[str]:
         own = [plain(word)]
-        if _TRACES.search(word):
-            own.append(plain(self.decoder.read(word)))
+        if _TRACES.search(word) or _SLIGHT.search(word):
+            own.extend(map(plain, self.decoder.read(word).split()))
         return own
 
     def weight(self, word: str) -> float:
@@ -187,6 +226,48 @@ class Scorer:
                 best = max(best, self.weights.get(f, 0.0))
         return best
 
+    def _split_words(self, words: list[str]) -> dict[str, float]:
+        """Weighted words that neighbouring tokens spell only together."""
+        found: dict[str, float] = {}
+        known = self.known
+        for i in [i for i, w in enumerate(words) if known[w][2]]:
+            joined = known[words[i]][1]
+            for j in range(i + 1, len(words)):
+                after = known[words[j]][1]
+                if after[:1] == joined[-1:]:
+                    after = after[1:]
+                joined += after
+                if joined in self.whole:
+                    for word in self._joined(words, i, j + 1):
+                        found[word] = self.weights[word]
+                if joined not in self.starts:
+                    break
+        return found
+
+    def _joined(self, words: list[str], i: int, j: int) -> list[str]:
+        """Weighted words of tokens i to j read as one, if that is likelier than apart,
+        with the single letters around them."""
+        single = [len(plain(w) or w) == 1 for w in words[i:j]]
+        a, b = i, j
+        if single[0]:
+            while a and len(plain(words[a - 1]) or words[a - 1]) == 1:
+                a -= 1
+        if single[-1]:
+            while b < len(words) and len(plain(words[b]) or words[b]) == 1:
+                b += 1
+        inner = [" " if x and y else "\n" for x, y in zip(single, single[1:])]
+        apart = "".join(x + y for x, y in zip(words[i:j], [*inner, ""]))
+        before, after = " ".join([*words[a:i], ""]), " ".join(["", *words[j:b]])
+        read, value = self.decoder.read_scored(before + "".join(words[i:j]) + after)
+        value += sum(self.decoder.JOIN if x == "\n" else self.decoder.DROP_GAP for x in inner)
+        if all(single):
+            value += self.decoder.KNOWN
+        own = {r for w in words[i:j] for r in self._readings(w)}
+        new = [w for w in map(plain, read.split()) if w in self.weights and w not in own]
+        if new and value >= self.decoder.read_scored(before + apart + after)[1] - 1e-6:
+            return new
+        return []
+
     def evidence(self, text: str | None) -> tuple[float, float, float]:
         """Largest weight, the next largest of another word, and the sum of the top five."""
         if not text:
@@ -196,21 +277,38 @@ class Scorer:
             self.known.clear()
         known, top = self.known, {}
         for w in set(words):
-            value = known.get(w)
-            if value is None:
-                value = known[w] = self.weight(w)
-            if value:
-                top[w] = value
+            fact = known.get(w)
+            if fact is None:
+                s = signs(w)
+                fact = known[w] = (self.weight(w), s, s in self.starts)
+            if fact[0]:
+                top[w] = fact[0]
         lone = sum(1 for w in words if len(w) <= 2)
-        if lone >= 3:
-            for run in spaced_runs(words):
-                value = max(self.weight(run), self.weight(self.decoder.read(run)))
+        for run in letter_runs(words) if lone >= 3 else ():
+            read = {w: self.weight(w) for w in map(plain, self.decoder.read(" ".join(run)).split())}
+            if not any(read.values()):
+                whole = "".join(run)
+                read = {whole: max(self.weight(whole), self.weight(self.decoder.read(whole)))}
+            for w, value in read.items():
                 if value:
-                    top[run] = value
+                    top[w] = max(value, top.get(w, 0.0))
+        for w, value in self._split_words(words).items():
+            top[w] = max(value, top.get(w, 0.0))
         values = sorted(top.values(), reverse=True)[:5] + [0.0, 0.0]
         return values[0], values[1], sum(values)
 
 
+def _fit_words(decoder: Decoder, word: str) -> list[str]:
+    """The words that a word of a labelled row counts as."""
+    own = []
+    if not _TRACES.search(word):
+        own.append(plain(word))
+        if not _SLIGHT.search(word):
+            return [x for x in own if x]
+    own.extend(map(plain, decoder.read(word).split()))
+    return [x for x in dict.fromkeys(own) if x]
+
+
 def _word_neighbours(model):
     """Words of labelled rows with the word before them."""
 
@@ -222,14 +320,15 @@ def _word_neighbours(model):
                 for text, toxic in zip(pdf["text"], pdf["toxic"]):
                     before = ""
                     for w in (text or "").lower().split():
-                        core = known.get(w)
-                        if core is None:
+                        cores = known.get(w)
+                        if cores is None:
                             if len(known) >= CACHE_WORDS:
                                 known.clear()
-                            core = known[w] = plain(decoder.read(w) if _TRACES.search(w) else w)
-                        if core:
+                            cores = known[w] = _fit_words(decoder, w)
+                        for core in cores:
                             rows[core, before, int(toxic)] = None
-                            before = core
+                        if cores:
+                            before = cores[0]
                 yield pd.DataFrame(list(rows), columns=["word", "before", "toxic"])
 
     return run
