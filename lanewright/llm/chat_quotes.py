@@ -1,16 +1,21 @@
 """Conversations in reply order, with quoted passages linked and taken out.
 
 Only DataFrame functions run here. A line that begins with ``>`` marks is a
-quote; the number of marks is its level. Quoted lines are normalised (case,
-white space, marks) and hashed, and join by equality the first message of the
-conversation that has the line as its own. A message replies to the earlier
-message that most of its quoted lines come from, the later of equals; without a
-link, to the turn before it. Messages are ordered within a conversation by the
-turn they reply to and then by their own, so none comes before the message it
-answers. Text is left without its quotes.
-
-Only distinct lines move, with map-side combine, so a line that a third of all
-messages share, or one very long conversation, leaves each task once a turn.
+quote; the number of marks is its level. Lines are normalised (case, white
+space, marks); lines of one level in a row form a passage, which ends at a blank
+line. A passage, each of its lines and each WINDOW words of it in a row are
+hashed and join by equality the nearest earlier message of the conversation that
+has them as its own, so a quote that is cut or wrapped at another width links
+too. Of the levels that link, the shallowest decides, since deeper ones quote
+what the answered message quotes: a message replies to the earlier message that
+holds most of the whole passages of that level, then most of its parts, then the
+later of equals; without a link, to the turn before it. Messages are ordered
+within a conversation by the turn they reply to and then by their own, so none
+comes before the message it answers. Text is left without its quotes.
+
+Parts move only for conversations with a quote, once a message; the nearest
+owner is a running maximum over the messages that share a part, never a pairing
+of them.
 
 Defined cases: a null text is empty; a message of quotes alone has an empty
 text; a line of marks alone is a quote with no content and links to nothing; a
@@ -22,9 +27,10 @@ no rows; other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+WINDOW = 8
 _MARKS = r"^\s*>[>\s]*"
 
 
@@ -42,31 +48,84 @@ def _key() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
+def passages(messages: DataFrame) -> DataFrame:
+    """``conv_id, turn, key, level, lines`` for every run of lines of one level."""
+    lines = F.transform(
+        F.split(F.coalesce("text", F.lit("")), r"\r?\n"),
+        lambda x: F.struct(quote_level(x).alias("level"), normal_line(x).alias("line")),
+    )
+    rows = messages.select("conv_id", "turn", _key().alias("key"), lines.alias("all"))
+    # Places where a passage begins and ends; as many of each, in order.
+    edge = lambda i, j: (F.get("all", i)["line"] != "") & (
+        F.get("all", j).isNull()
+        | (F.get("all", j)["line"] == "")
+        | (F.get("all", j)["level"] != F.get("all", i)["level"])
+    )
+    places = F.sequence(F.lit(0), F.size("all") - 1)
+    begins = F.filter(places, lambda i: edge(i, i - 1))
+    ends = F.filter(places, lambda i: edge(i, i + 1))
+    rows = rows.withColumn("at", F.explode(F.arrays_zip(begins.alias("begin"), ends.alias("end"))))
+    own = F.slice("all", F.col("at.begin") + 1, F.col("at.end") - F.col("at.begin") + 1)
+    return rows.select(
+        "conv_id", "turn", "key", F.get("all", F.col("at.begin"))["level"].alias("level"),
+        F.transform(own, lambda x: x["line"]).alias("lines"),
+    )
+
+
+def _parts(rows: DataFrame) -> DataFrame:
+    """The passage, its lines and windows as ``part``, with the lines it touches."""
+    line_of = F.flatten(
+        F.transform("lines", lambda x, i: F.transform(F.split(x, " "), lambda _: i))
+    )
+    rows = rows.withColumns({"words": F.split(F.array_join("lines", " "), " "), "line_of": line_of})
+    part = lambda text, whole, lines: F.struct(
+        text.alias("part"), F.lit(whole).alias("whole"), lines.alias("touched")
+    )
+    windows = F.when(
+        F.size("words") > WINDOW,
+        F.transform(
+            F.sequence(F.lit(0), F.size("words") - WINDOW),
+            lambda i: part(
+                F.array_join(F.slice("words", i + 1, WINDOW), " "),
+                False,
+                F.slice("lines", F.get("line_of", i) + 1, F.get("line_of", i + WINDOW - 1) - F.get("line_of", i) + 1),
+            ),
+        ),
+    )
+    each = F.transform("lines", lambda x: part(x, False, F.array(x)))
+    first = F.array(part(F.array_join("words", " "), True, F.col("lines")))
+    parts = F.concat(first, each, F.coalesce(windows, F.slice(each, 1, 0)))
+    rows = rows.select("conv_id", "turn", "key", "level", F.explode(parts).alias("p"))
+    return rows.select("conv_id", "turn", "key", "level", "p.*").withColumn("hash", F.xxhash64("part"))
+
+
 def quote_links(messages: DataFrame) -> DataFrame:
-    """``conv_id, turn, key, reply_to, n_linked`` for messages whose quotes are found."""
-    lines = F.split(F.coalesce("text", F.lit("")), r"\r?\n")
-    rows = messages.select("conv_id", "turn", _key().alias("key"), F.explode(lines).alias("line"))
-    rows = rows.select(
-        "conv_id", "turn", "key", quote_level(F.col("line")).alias("level"), normal_line(F.col("line")).alias("line")
-    ).filter(F.col("line") != "")
-    rows = rows.withColumn("hash", F.xxhash64("line"))
+    """``conv_id, turn, key, reply_to, n_linked`` for messages whose quotes are found.
+
+    ``n_linked`` counts the distinct quoted lines, of any level, with a linked part.
+    """
     quoting = messages.filter(F.col("text").rlike(r"(?m)^\s*>")).select("conv_id").distinct()
-    originals = (
-        rows.filter("level = 0")
-        .join(quoting, "conv_id", "left_semi")
-        .groupBy("conv_id", "hash", "line")
-        .agg(F.min("turn").alias("origin"))
+    rows = _parts(passages(messages.join(quoting, "conv_id", "left_semi")))
+    columns = ["conv_id", "turn", "key", "level", "hash", "part", "touched"]
+    quoted = rows.filter("level > 0").groupBy(columns).agg(F.max("whole").alias("whole"))
+    own = rows.filter("level = 0").select("conv_id", "hash", "part", "turn").distinct()
+    earlier = Window.partitionBy("conv_id", "hash", "part").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
+    linked = (
+        quoted.unionByName(own.withColumn("owner", F.col("turn")), allowMissingColumns=True)
+        .withColumn("origin", F.max("owner").over(earlier))
+        .filter("level > 0 and origin is not null")
     )
-    quoted = rows.filter("level > 0").select("conv_id", "turn", "key", "hash", "line", "level").distinct()
-    counted = (
-        quoted.join(originals, ["conv_id", "hash", "line"])
-        .filter(F.col("origin") < F.col("turn"))
-        .groupBy("conv_id", "turn", "key", "origin")
-        .agg(F.count("*").alias("n"))
+    counted = linked.groupBy("conv_id", "turn", "key", "level", "origin").agg(
+        F.countDistinct(F.when(F.col("whole"), F.col("part"))).alias("n_whole"),
+        F.countDistinct("part").alias("n"),
+        F.array_distinct(F.flatten(F.collect_set("touched"))).alias("touched"),
     )
-    best = F.max(F.struct("n", "origin")).alias("best")
-    return counted.groupBy("conv_id", "turn", "key").agg(best, F.sum("n").alias("n_linked")).select(
-        "conv_id", "turn", "key", F.col("best.origin").alias("reply_to"), "n_linked"
+    best = F.max(F.struct((-F.col("level")).alias("shallow"), "n_whole", "n", "origin")).alias("best")
+    of_level = F.transform("touched", lambda x: F.struct("level", x.alias("line")))
+    return (
+        counted.groupBy("conv_id", "turn", "key")
+        .agg(best, F.size(F.array_distinct(F.flatten(F.collect_list(of_level)))).cast("long").alias("n_linked"))
+        .select("conv_id", "turn", "key", F.col("best.origin").alias("reply_to"), "n_linked")
     )
 
 

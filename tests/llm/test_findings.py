@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from lanewright.llm import toxicity
+from lanewright.llm import chat_quotes, toxicity
 
 
 @pytest.fixture(scope="module")
@@ -37,3 +37,32 @@ def scorer():
 )
 def test_every_spelling_is_scored(scorer, text, weights):
     assert scorer.evidence(text)[2] == sum(weights)
+
+
+def _replies(spark, texts):
+    rows = [(1, i, "user", t) for i, t in enumerate(texts)]
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    return {r.turn: (r.reply_to, r.n_linked) for r in chat_quotes.reply_ordered(messages).collect()}
+
+
+def test_the_shallowest_quote_decides(spark):
+    first = "one line here\nanother line here\nthird line here"
+    second = "".join(f"> {x}\n" for x in first.split("\n")) + "my own line"
+    third = "> my own line\n" + "".join(f">> {x}\n" for x in first.split("\n")) + "agreed"
+    assert _replies(spark, [first, second, third]) == {0: (None, 0), 1: (0, 3), 2: (1, 4)}
+
+
+def test_quotes_wrapped_again_or_cut_link(spark):
+    first = "\n".join(" ".join(f"word{k}" for k in range(a, a + 10)) for a in (0, 10, 20))
+    words = first.split()
+    wrapped = "\n".join("> " + " ".join(words[a : a + 7]) for a in range(0, 30, 7))
+    cut = "\n".join("> " + " ".join(words[a : a + 7]) for a in range(6, 27, 7))
+    found = _replies(spark, [first, "nothing of it", wrapped, cut + "\nso"])
+    assert found == {0: (None, 0), 1: (0, 0), 2: (0, 5), 3: (0, 3)}
+
+
+def test_a_repeated_line_links_to_the_nearest_or_the_whole(spark):
+    found = _replies(spark, ["yes", "no", "yes", "other", "> yes"])
+    assert found[4] == (2, 1)
+    found = _replies(spark, ["a long first line\nshort", "a long first line", "x", "> a long first line\n> short"])
+    assert found[3] == (0, 2)
