@@ -73,8 +73,9 @@ def _item_seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for item, text in zip(pdf["item_id"], pdf["text"]):
             words = hashes.of(text)
-            rows.extend((item, s, len(words)) for s in as_long(np.unique(_seeds(words))))
-        yield pd.DataFrame(rows, columns=["item_id", "seed", "n_words"])
+            own, times = np.unique(_seeds(words), return_counts=True)
+            rows.extend((item, s, n, len(words)) for s, n in zip(as_long(own), times))
+        yield pd.DataFrame(rows, columns=["item_id", "seed", "times", "n_words"])
 
 
 def _possible(bitmap):
@@ -196,7 +197,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, threshold: float = THRESHOLD
     work = stage(spark, "leaks")
     items = benchmark.select("item_id", "text").dropna(subset=["text"])
     seeds = work.cut(
-        items.mapInPandas(_item_seeds, "item_id long, seed long, n_words long"), "seeds"
+        items.mapInPandas(_item_seeds, "item_id long, seed long, times long, n_words long"), "seeds"
     )
     # The filter's set bits: at most 2**FILTER_BITS places, however many seeds.
     def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -214,13 +215,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, threshold: float = THRESHOLD
         ),
         "possible",
     )
+    # Places of the item, so one that repeats itself is not undercounted.
     enough = F.lit(SEED) * F.col("n_seeds") >= F.lit(threshold) * F.col("n_words")
     pairs = (
         possible.select("doc_id", F.explode("seeds").alias("seed"))
         .distinct()
         .join(seeds, "seed")
         .groupBy("doc_id", "item_id")
-        .agg(F.count("*").alias("n_seeds"), F.first("n_words").alias("n_words"))
+        .agg(F.sum("times").alias("n_seeds"), F.first("n_words").alias("n_words"))
         .filter(enough)
     )
     wanted = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from lanewright.llm import chat_quotes, toxicity
+from lanewright.llm import chat_quotes, decontaminate, toxicity
 
 
 @pytest.fixture(scope="module")
@@ -66,3 +66,11 @@ def test_a_repeated_line_links_to_the_nearest_or_the_whole(spark):
     assert found[4] == (2, 1)
     found = _replies(spark, ["a long first line\nshort", "a long first line", "x", "> a long first line\n> short"])
     assert found[3] == (0, 2)
+
+
+def test_an_item_that_repeats_itself_is_found(spark):
+    item = " ".join(["one two three four five"] * 20)
+    docs = spark.createDataFrame([(1, item), (2, "one two three four five and no more")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    found = decontaminate.leaks(docs, items).collect()
+    assert [(r.doc_id, r.item_id, r.covered_words) for r in found] == [(1, 7, 100)]
