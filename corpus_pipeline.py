@@ -47,7 +47,7 @@ STAGES = [
     ("sentencepiece", sentencepiece_stage),
 ]
 
-# Learned scores, tiling and tokenisation have no SQL form; tests use brute force.
+# Learned scores, tiling and tokenisation have no SQL form; tests check the operators, not this query.
 ORACLE_SQL = None
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from lanewright.llm import chat_quotes, decontaminate, toxicity
+from lanewright.llm import chat_quotes, decontaminate, ngram_join, toxicity
 
 
 @pytest.fixture(scope="module")
@@ -74,3 +74,50 @@ def test_an_item_that_repeats_itself_is_found(spark):
     items = spark.createDataFrame([(7, item)], "item_id long, text string")
     found = decontaminate.leaks(docs, items).collect()
     assert [(r.doc_id, r.item_id, r.covered_words) for r in found] == [(1, 7, 100)]
+
+
+@pytest.fixture(scope="module")
+def smallest(spark):
+    return [spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "benchmark")]
+
+
+def test_ngram_join_by_brute_force(smallest):
+    docs = [(r.doc_id, (r.text or "").encode().lower().split()) for r in smallest[0].collect()]
+    sets = {}
+    for d, words in docs:
+        last = max(1, len(words) - 4) if words else 0
+        sets[d] = {tuple(words[i : i + 5]) for i in range(last)}
+    label = {d: d for d in sets}
+
+    def root(d):
+        while label[d] != d:
+            d = label[d]
+        return d
+
+    ids = sorted(sets)
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 5 * both >= 4 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = sorted((root(a), root(b)))
+                label[y] = x
+    want = {(d, len(sets[d]), root(d)) for d in ids}
+    assert {tuple(r) for r in ngram_join.similar_components(smallest[0]).collect()} == want
+
+
+def test_leaks_by_brute_force(smallest):
+    hashes = decontaminate.StrippedHashes()
+    items = [(r.item_id, hashes.of(r.text)) for r in smallest[1].collect() if r.text]
+    want = set()
+    for r in smallest[0].collect():
+        words = hashes.of(r.text)
+        own = set(words.tolist())
+        for item, wanted in items:
+            # Covered words stand in the document.
+            if 2 * sum(w in own for w in wanted.tolist()) < len(wanted):
+                continue
+            covered = sum(t[2] for t in decontaminate.tiles(words, wanted))
+            if covered and 2 * covered >= len(wanted):
+                want.add((r.doc_id, item, covered))
+    found = decontaminate.leaks(*smallest).collect()
+    assert want and {(r.doc_id, r.item_id, r.covered_words) for r in found} == want
