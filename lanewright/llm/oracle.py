@@ -38,8 +38,28 @@ SELECT page_id, host, path, rule, coalesce(rverdict, 'allow') AS verdict
 FROM parsed LEFT JOIN best USING (page_id)
 """
 
+_NEGATIVES = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c AS (SELECT vec_id, label, i, floor(256 * embedding[i]::DOUBLE)::BIGINT AS x
+  FROM (SELECT vec_id, label, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM v)),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, sum(a.x * b.x)::BIGINT AS score
+  FROM c a JOIN c b USING (i) WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+  GROUP BY a.vec_id, b.vec_id, a.label = b.label),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+  row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
+
 ORACLE = {
     "op5_exact_dedup": _DEDUP,
     "op7_warc": _WARC,
     "op10_url_filter": _URLS,
+    "op13_hard_negatives": _NEGATIVES,
 }

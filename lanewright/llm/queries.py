@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lanewright.llm import (
+    byte_bpe,
     chat_quotes,
     decontaminate,
     exact_dedup,
+    hard_negatives,
     license_scan,
     ngram_join,
     piece_bpe,
@@ -24,6 +26,7 @@ from lanewright.llm.common import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 
 URL_RULES = [
@@ -82,6 +85,17 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.encoding_digest(table(spark, sf_dir, "documents"), tokenizer_path=BYTE_TOKENIZER)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.withColumn("label", moved)
+    return hard_negatives.hard_negatives(rows, is_anchor=F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -95,5 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_sentencepiece,
         op10_url_filter,
+        op12_byte_bpe,
+        op13_hard_negatives,
     )
 }
