@@ -38,6 +38,32 @@ SELECT page_id, host, path, rule, coalesce(rverdict, 'allow') AS verdict
 FROM parsed LEFT JOIN best USING (page_id)
 """
 
+_COLLOCATIONS = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS words FROM d),
+p AS (SELECT lang, words, unnest([1, 2, 3, 4]) AS size FROM w),
+g AS (SELECT lang, size, unnest(list_transform(range(1, len(words) - size + 2), lambda i: words[i:i + size - 1])) AS words
+  FROM p WHERE len(words) >= size),
+f AS (SELECT lang, size, words, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+n AS (SELECT lang, sum(len(words))::BIGINT AS n FROM w GROUP BY lang),
+inner_ AS (SELECT lang, f, words, size, unnest(range(2, size)) AS part FROM f WHERE size > 2),
+inside AS (SELECT lang, f, unnest(list_transform(range(1, size - part + 2), lambda i: words[i:i + part - 1])) AS words
+  FROM inner_),
+most AS (SELECT lang, words, max(f) AS most FROM inside GROUP BY ALL),
+c AS (SELECT f.lang, f.words, f.size, f.f AS a FROM f LEFT JOIN most USING (lang, words)
+  WHERE f.size > 1 AND (most IS NULL OR 100 * most::HUGEINT < 80 * f.f::HUGEINT)),
+k AS (SELECT *, unnest(range(1, size)) AS k FROM c),
+s AS (SELECT k.*, x.f AS l, y.f AS r, ((2000000::HUGEINT * a) // (x.f + y.f))::BIGINT AS score
+  FROM k JOIN f x ON k.lang = x.lang AND k.words[1:k.k] = x.words
+  JOIN f y ON k.lang = y.lang AND k.words[k.k + 1:] = y.words),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+t AS (SELECT lang, array_to_string(words, ' ') AS phrase, a, l, r, score FROM b)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM t JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
 _NEGATIVES = """
 WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding
   FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
@@ -61,5 +87,6 @@ ORACLE = {
     "op5_exact_dedup": _DEDUP,
     "op7_warc": _WARC,
     "op10_url_filter": _URLS,
+    "op11_collocations": _COLLOCATIONS,
     "op13_hard_negatives": _NEGATIVES,
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lanewright.llm import (
     byte_bpe,
     chat_quotes,
+    collocations,
     decontaminate,
     exact_dedup,
     hard_negatives,
@@ -85,6 +86,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encoding_digest(table(spark, sf_dir, "documents"), tokenizer_path=BYTE_TOKENIZER)
 
@@ -109,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_sentencepiece,
         op10_url_filter,
+        op11_collocations,
         op12_byte_bpe,
         op13_hard_negatives,
     )
