@@ -19,6 +19,9 @@ from pyspark import TaskContext
 
 from lanewright.llm.common import open_file, put_file
 
+# Bits of the number of a block within its task, of a task, and of a word within its block.
+BLOCK_BITS, TASK_BITS, WORD_BITS = 12, 20, 31
+
 # A block is closed after the document that passes this many characters.
 BLOCK_CHARS = 24_000_000
 
@@ -60,17 +63,27 @@ def load(uri: str) -> dict[str, np.ndarray]:
 def in_blocks(
     batches: Iterator[pa.RecordBatch], add: Callable, close: Callable, size_of: Callable
 ) -> Iterator[pa.RecordBatch]:
-    """Feed rows to ``add`` and call ``close(number of the block)`` when a block is full."""
-    base, k, size, open_ = TaskContext.get().partitionId() << 32, 0, 0, False
+    """Feed rows to ``add`` and call ``close(number of the block)`` when a block is full.
+
+    A number takes 32 bits, so that it fits into 63 with the place of a word; a
+    task of more blocks, or more tasks, end the job with an error.
+    """
+    task, k, size, open_ = TaskContext.get().partitionId(), 0, 0, False
+
+    def number() -> int:
+        if task >> TASK_BITS or k >> BLOCK_BITS:
+            raise ValueError(f"block {k} of task {task}: too many to number, deal the input anew")
+        return task << BLOCK_BITS | k
+
     for batch in batches:
         for row in zip(*[c.to_pylist() for c in batch.columns]):
             add(*row)
             size, open_ = size + size_of(*row), True
             if size >= BLOCK_CHARS:
-                yield from close(base | k)
+                yield from close(number())
                 k, size, open_ = k + 1, 0, False
     if open_:
-        yield from close(base | k)
+        yield from close(number())
 
 
 def binaries(data: bytes | np.ndarray, ends: np.ndarray) -> pa.Array:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lanewright.llm.blocks import binaries, in_blocks, load, save
+from lanewright.llm.blocks import WORD_BITS, binaries, in_blocks, load, save
 from lanewright.llm.common import mix64, stage
 from lanewright.sources.staging import Stage
 
@@ -320,14 +320,30 @@ def collocations(
     folder = f"{work.root}/blocks"
     coded = work.cut(_coded(docs, folder), "coded")
     found = coded.filter("uri is null")
-    words = found.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    words = work.cut(words.withColumn("id", F.monotonically_increasing_id()), "words")
+    # Every word is known by its first place, so one shuffle counts, numbers and finds it.
+    every = Window.partitionBy("lang", "word")
+    own = F.shiftleft("block", WORD_BITS).bitwiseOR(F.col("unit"))
+    counted = found.select(
+        "block",
+        "unit",
+        own.alias("own"),
+        F.min(own).over(every).alias("id"),
+        F.sum("n").over(every).alias("f"),
+        "lang",
+        "word",
+    ).filter(F.col("f") >= least)
+    first = F.col("own") == F.col("id")
+    counted = work.cut(
+        counted.select(
+            "block", "unit", "id", "f", *[F.when(first, F.col(c)).alias(c) for c in ("lang", "word")]
+        ),
+        "words",
+    )
+    words = counted.filter("word is not null").select("lang", "word", "id", "f")
     sizes = found.groupBy("lang").agg(F.sum("n").alias("total"))
 
     blocks = coded.filter("uri is not null").select("block", "uri")
-    units = found.join(words, ["lang", "word"]).select(
-        "block", "unit", _as_key(F.col("id")).alias("key"), words["f"]
-    )
+    units = counted.select("block", "unit", _as_key(F.col("id")).alias("key"), "f")
     levels = [words.select(_as_key(F.col("id")).alias("key"), "f")]
     for k in range(1, LONGEST):
         stripes = work.cut(_extend(blocks, units, k, folder), f"stripes-{k}")
