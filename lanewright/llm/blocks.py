@@ -23,7 +23,7 @@ from lanewright.llm.common import open_file, put_file
 BLOCK_BITS, TASK_BITS, WORD_BITS = 12, 20, 31
 
 # A block is closed after the document that passes this many characters.
-BLOCK_CHARS = 24_000_000
+BLOCK_CHARS = 32_000_000
 
 
 class Numbers(dict):
@@ -34,11 +34,16 @@ class Numbers(dict):
         return number
 
 
-def pack(arrays: dict[str, np.ndarray]) -> bytes:
-    """Named arrays as compressed bytes."""
+def pack(arrays: dict[str, np.ndarray], level: int = 1) -> bytes:
+    """Named arrays as compressed bytes, the bytes of equal weight side by side."""
     head = json.dumps([[k, a.dtype.str, len(a)] for k, a in arrays.items()]).encode()
-    body = b"".join([struct.pack("<I", len(head)), head, *[a.tobytes() for a in arrays.values()]])
-    return zstandard.ZstdCompressor(level=1).compress(body)
+    planes = [
+        np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T).tobytes()
+        for a in arrays.values()
+        if len(a)
+    ]
+    body = b"".join([struct.pack("<I", len(head)), head, *planes])
+    return zstandard.ZstdCompressor(level=level).compress(body)
 
 
 def unpack(data: bytes) -> dict[str, np.ndarray]:
@@ -46,8 +51,10 @@ def unpack(data: bytes) -> dict[str, np.ndarray]:
     at = 4 + struct.unpack_from("<I", body)[0]
     arrays = {}
     for name, kind, n in json.loads(body[4:at]):
-        arrays[name] = np.frombuffer(body, kind, n, at)
-        at += arrays[name].nbytes
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(body, np.uint8, n * width, at).reshape(width, n)
+        arrays[name] = np.ascontiguousarray(planes.T).view(kind).reshape(n)
+        at += n * width
     return arrays
 
 

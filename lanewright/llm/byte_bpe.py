@@ -2,10 +2,14 @@
 
 Texts are split into words as the tokenizer file's splitter does. A block of
 documents keeps the numbers of its words in a file and hands each distinct word
-on once; the words meet by a shuffle on the word, where each distinct word of
-the corpus is encoded a single time. Its ids are joined with the table of pieces
-on the id, and ids and pieces go back to the blocks, which lay them out by
-position.
+on once, packed with others of the same hash bucket; words meet by bucket, where
+each distinct word of the corpus is encoded a single time. The ids go back to
+the blocks. The distinct ids of a block are joined with the table of pieces on
+the id, and the block lays ids and pieces out by position.
+
+A bucket is one of as many as there are shuffle partitions. If its distinct
+words pass MOST_WORDS, the table of words it has seen starts anew, and a word
+that comes again is encoded again, to the same ids.
 
 The table of pieces has one row an id of the tokenizer; that is its bound, and
 it is checked before the table is broadcast.
@@ -28,10 +32,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewright.llm.blocks import Numbers, binaries, in_blocks, load, save
+from lanewright.llm.blocks import Numbers, in_blocks, load, pack, save, unpack
 from lanewright.llm.common import output_folder, stage
 from lanewright.sources.staging import Stage
 
@@ -39,7 +44,8 @@ from lanewright.sources.staging import Stage
 MOST_PIECES = 1 << 20
 # Symbols of a word up to which the best pair is looked for by going over all.
 SHORT = 48
-ROWS = 2_000
+# Distinct words that one bucket keeps in memory.
+MOST_WORDS = 1_000_000
 
 # The printable stand-in of each byte, a fixed rule of the format: printable bytes stand
 # for themselves, the others follow from code point 256 on.
@@ -186,8 +192,18 @@ def piece_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(list(pieces.items()), "id int, piece binary")
 
 
-def _coded(docs: DataFrame, path: str, folder: str) -> DataFrame:
-    """``block, uri`` once a block and ``block, code, word`` once a distinct word of it."""
+def _coded(docs: DataFrame, path: str, folder: str, buckets: int) -> DataFrame:
+    """``block, uri`` once a block and, for each bucket of its distinct words, ``block,
+    bucket, first, words``: the words packed, their numbers counting up from ``first``."""
+    schema = pa.schema(
+        [
+            ("block", pa.int64()),
+            ("uri", pa.string()),
+            ("bucket", pa.int32()),
+            ("first", pa.int32()),
+            ("words", pa.binary()),
+        ]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import Tokenizer
@@ -204,54 +220,115 @@ def _coded(docs: DataFrame, path: str, folder: str) -> DataFrame:
             state["codes"].append(np.fromiter(map(number, words), np.int32, len(words)))
 
         def close(block: int) -> Iterator[pa.RecordBatch]:
-            ids, codes, words = state["ids"], state["codes"], list(state["numbers"])
+            ids, codes, numbers = state["ids"], state["codes"], state["numbers"]
+            words = sorted(numbers)
+            raw = [w.encode() for w in words]
+            bucket = np.array([xxhash.xxh3_64_intdigest(w) % buckets for w in raw], np.int64)
+            order = np.argsort(bucket, kind="stable")
+            # Words are numbered anew by bucket, and by spelling inside it.
+            new = np.empty(len(words), np.int32)
+            new[np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))[order]] = (
+                np.arange(len(words))
+            )
             arrays = {
                 "has_id": np.array([i is not None for i in ids]),
                 "doc_id": np.array([i or 0 for i in ids], np.int64),
                 "length": np.array([len(c) for c in codes], np.int64),
-                "code": np.concatenate(codes),
+                "code": new[np.concatenate(codes)] if words else np.zeros(0, np.int32),
             }
-            uri = save(folder, arrays)
             fresh()
-            for a in range(0, len(words) + 1, 100_000):
-                part = words[a : a + 100_000]
-                first = [a == 0] * (a == 0)  # the row of the block itself goes before its words
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([block] * (len(part) + len(first)), pa.int64()),
-                        pa.array([uri] * len(first) + [None] * len(part), pa.string()),
-                        pa.array([-1] * len(first) + list(range(a, a + len(part))), pa.int32()),
-                        pa.array([None] * len(first) + part, pa.string()),
-                    ],
-                    names=["block", "uri", "code", "word"],
+            rows = [(block, save(folder, arrays), None, None, None)]
+            cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=buckets))
+            for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
+                part = [raw[k] for k in order[a:b]]
+                packed = pack(
+                    {
+                        "length": np.array([len(w) for w in part], np.int32),
+                        "bytes": np.frombuffer(b"".join(part), np.uint8),
+                    },
+                    level=3,
                 )
+                rows.append((block, None, int(bucket[order[a]]), a, packed))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema
+            )
 
         fresh()
         yield from in_blocks(batches, add, close, lambda _, text: len(text or ""))
 
-    schema = "block long, uri string, code int, word string"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(
+        run, "block long, uri string, bucket int, first int, words binary"
+    )
 
 
-def encode_words(places: DataFrame, *, tokenizer_path: str) -> DataFrame:
-    """``block, code, ids`` of ``block, code, word``; equal words meet and are encoded once."""
+class _WordTable(dict):
+    """Distinct words to their ids, little-endian."""
+
+    def __init__(self, merges: Merges):
+        super().__init__()
+        self.merges = merges
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= MOST_WORDS:
+            self.clear()
+        ids = self[word] = np.array(self.merges.encode(word.decode()), "<u4").tobytes()
+        return ids
+
+
+def encode_words(coded: DataFrame, *, tokenizer_path: str) -> DataFrame:
+    """``block, first, ids`` of ``block, bucket, first, words``; the words of a bucket meet
+    and each distinct one is encoded once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges, last, ids = Merges(tokenizer_path), None, []
+        merges, last, table = Merges(tokenizer_path), None, {}
         for batch in batches:
-            flat, ends = [], np.zeros(batch.num_rows + 1, np.int32)
-            for k, word in enumerate(batch["word"].to_pylist(), 1):
-                if word != last:
-                    last, ids = word, merges.encode(word)
-                flat += ids
-                ends[k] = len(flat)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
+            ids = []
+            for bucket, words in zip(batch["bucket"].to_pylist(), batch["words"].to_pylist()):
+                if bucket != last:
+                    last, table = bucket, _WordTable(merges)
+                arrays = unpack(words)
+                raw, ends = arrays["bytes"].tobytes(), np.cumsum(arrays["length"])
+                starts = (ends - arrays["length"]).tolist()
+                found = [table[raw[a:b]] for a, b in zip(starts, ends.tolist())]
+                ids.append(
+                    pack(
+                        {
+                            "length": np.array([len(f) // 4 for f in found], np.int32),
+                            "id": np.frombuffer(b"".join(found), "<i4"),
+                        }
+                    )
+                )
             yield pa.RecordBatch.from_arrays(
-                [batch["block"], batch["code"], lists], names=["block", "code", "ids"]
+                [batch["block"], batch["first"], pa.array(ids, pa.binary())],
+                names=["block", "first", "ids"],
             )
 
-    met = places.select("block", "code", "word").repartition("word").sortWithinPartitions("word")
-    return met.mapInArrow(run, "block long, code int, ids array<int>")
+    met = coded.select("block", "bucket", "first", "words")
+    met = met.repartition("bucket").sortWithinPartitions("bucket")
+    return met.mapInArrow(run, "block long, first int, ids binary")
+
+
+def _dictionaries(ids: DataFrame, folder: str) -> DataFrame:
+    """``block, dictionary`` once a block, a file of the ids of its words, and ``block, id``
+    once a distinct id of it."""
+    schema = pa.schema([("block", pa.int64()), ("dictionary", pa.string()), ("id", pa.int32())])
+
+    def run(parts: pa.Table) -> pa.Table:
+        parts = parts.sort_by("first")
+        arrays = [unpack(p) for p in parts["ids"].to_pylist()]
+        whole = {k: np.concatenate([a[k] for a in arrays]) for k in ("length", "id")}
+        distinct = np.unique(whole["id"])
+        n = len(distinct) + 1
+        return pa.Table.from_arrays(
+            [
+                pa.array(np.full(n, parts["block"][0].as_py())),
+                pa.array([save(folder, whole)] + [None] * (n - 1), pa.string()),
+                pa.array([None, *distinct.tolist()], pa.int32()),
+            ],
+            schema=schema,
+        )
+
+    return ids.groupBy("block").applyInArrow(run, "block long, dictionary string, id int")
 
 
 def _laid_out(
@@ -260,26 +337,22 @@ def _laid_out(
     """Ids and pieces of every document by position, through ``finish``."""
     spark = docs.sparkSession
     work = work or stage(spark, "byte-bpe")
-    coded = work.cut(_coded(docs, path, f"{work.root}/blocks"), "coded")
-    blocks = coded.filter("uri is not null").select("block", "uri")
+    folder = f"{work.root}/blocks"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    coded = work.cut(_coded(docs, path, folder, buckets), "coded")
     ids = encode_words(coded.filter("uri is null"), tokenizer_path=path)
-    ids = ids.select("block", "code", F.posexplode("ids").alias("at", "id"))
-    table = ids.join(F.broadcast(piece_table(spark, path)), "id").select(
-        "block", "code", "at", "id", "piece"
-    )
-
-    def run(key, block: pa.Table, words: pa.Table) -> pa.Table:
-        known = load(block["uri"][0].as_py())
-        order = np.lexsort((words["at"].to_numpy(), words["code"].to_numpy()))
-        id_bytes = words["id"].to_numpy()[order].astype("<u4").tobytes()
-        pieces = words["piece"].combine_chunks().take(pa.array(order)).to_pylist()
-        text = b"".join(pieces)
-        n_words = int(known["code"].max(initial=-1)) + 1
-        ends = np.cumsum(np.bincount(words["code"].to_numpy(), minlength=n_words))
-        text_at = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
-        starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-        ids_of = [id_bytes[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())]
-        text_of = [text[a:b] for a, b in zip(text_at[starts].tolist(), text_at[ends].tolist())]
+    known = work.cut(_dictionaries(ids, folder), "dictionaries")
+    files = known.filter("id is null").select("block", "dictionary")
+    # Blocks of empty texts have no words, so no dictionary.
+    blocks = coded.filter("uri is not null").select("block", "uri").join(files, "block", "left")
+    pieces = known.filter("id is not null").join(F.broadcast(piece_table(spark, path)), "id")
+    pieces = pieces.select(F.col("block").alias("of_block"), "id", "piece")
+
+    def run(key, block: pa.Table, pieces_: pa.Table) -> pa.Table:
+        if not block.num_rows:
+            return wanted.empty_table()
+        known, dictionary = load(block["uri"][0].as_py()), block["dictionary"][0].as_py()
+        ids_of, text_of = _entries(load(dictionary), pieces_) if dictionary else ([], [])
         out, at = [], 0
         for has_id, doc_id, n in zip(
             known["has_id"].tolist(), known["doc_id"].tolist(), known["length"].tolist()
@@ -295,8 +368,20 @@ def _laid_out(
         )
 
     wanted = _arrow(schema)
+    return blocks.groupBy("block").cogroup(pieces.groupBy("of_block")).applyInArrow(run, schema)
+
+
+def _entries(ids: dict[str, np.ndarray], pieces: pa.Table) -> tuple[list[bytes], list[bytes]]:
+    """Ids and decoded bytes of every word of a block."""
+    piece_of = dict(zip(pieces["id"].to_pylist(), pieces["piece"].to_pylist()))
+    parts = [piece_of[i] for i in ids["id"].tolist()]
+    ends = np.cumsum(ids["length"])
+    starts = ends - ids["length"]
+    text, packed = b"".join(parts), ids["id"].astype("<u4").tobytes()
+    at = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
     return (
-        blocks.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(run, schema)
+        [packed[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())],
+        [text[a:b] for a, b in zip(at[starts].tolist(), at[ends].tolist())],
     )
 
 
