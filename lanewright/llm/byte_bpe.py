@@ -275,7 +275,7 @@ class _WordTable(dict):
         return ids
 
 
-def encode_words(coded: DataFrame, *, tokenizer_path: str) -> DataFrame:
+def encode_words(coded: DataFrame, *, tokenizer_path: str, buckets: int) -> DataFrame:
     """``block, first, ids`` of ``block, bucket, first, words``; the words of a bucket meet
     and each distinct one is encoded once."""
 
@@ -304,7 +304,7 @@ def encode_words(coded: DataFrame, *, tokenizer_path: str) -> DataFrame:
             )
 
     met = coded.select("block", "bucket", "first", "words")
-    met = met.repartition("bucket").sortWithinPartitions("bucket")
+    met = met.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     return met.mapInArrow(run, "block long, first int, ids binary")
 
 
@@ -340,7 +340,10 @@ def _laid_out(
     folder = f"{work.root}/blocks"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     coded = work.cut(_coded(docs, path, folder, buckets), "coded")
-    ids = encode_words(coded.filter("uri is null"), tokenizer_path=path)
+    # The rows moved are few and small for the work they stand for, so the numbers of
+    # tasks are said, not left to the sizes seen.
+    ids = encode_words(coded.filter("uri is null"), tokenizer_path=path, buckets=buckets)
+    ids = ids.repartition(buckets, "block")
     known = work.cut(_dictionaries(ids, folder), "dictionaries")
     files = known.filter("id is null").select("block", "dictionary")
     # Blocks of empty texts have no words, so no dictionary.
@@ -368,6 +371,7 @@ def _laid_out(
         )
 
     wanted = _arrow(schema)
+    blocks, pieces = blocks.repartition(buckets, "block"), pieces.repartition(buckets, "of_block")
     return blocks.groupBy("block").cogroup(pieces.groupBy("of_block")).applyInArrow(run, schema)
 
 
