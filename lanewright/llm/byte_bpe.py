@@ -433,4 +433,4 @@ def decode_documents(tokens: DataFrame, *, tokenizer_path: str) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("at", "piece"))).alias("parts"),
     )
     joined = F.array_join(F.transform("parts", lambda p: F.hex(p["piece"])), "")
-    return met.select("doc_id", F.decode(F.unhex(joined), "utf-8").alias("decoded"))
+    return met.select("doc_id", F.make_valid_utf8(F.unhex(joined).cast("string")).alias("decoded"))
