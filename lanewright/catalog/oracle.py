@@ -955,7 +955,8 @@ FROM a JOIN b USING (o_orderkey) WHERE a.o_orderpriority IS DISTINCT FROM b.o_or
 SELECT 'part' AS table_name, check_name, CASE n WHEN 0 THEN 'PASS' ELSE 'DIFF' END AS status,
   CAST(n AS BIGINT) AS n_found
 FROM (SELECT count(*) FILTER (p_partkey % 10 = 0) AS gone,
-    count(*) FILTER (p_partkey % 10 <> 0 AND p_partkey % 4 = 0) AS changed FROM part),
+    count(*) FILTER (p_partkey % 10 <> 0 AND p_partkey % 4 = 0)
+      + count(*) FILTER (p_partkey % 10 <> 0 AND p_partkey <> 1) AS changed FROM part),
   LATERAL (VALUES ('columns', 0), ('row_count', gone), ('duplicates_old', 0),
     ('duplicates_new', 0), ('keys_old_only', gone), ('keys_new_only', 0),
     ('changed_cells', changed)) AS v(check_name, n)""",
@@ -1025,6 +1026,27 @@ FROM ({preferred_pairs("replenishmentpolicies")})""",
     "refresh_fulfillment": "SELECT * FROM new_issues",
     "refresh_replenishment": "SELECT * FROM new_moves",
     "refresh_transportation": "SELECT * FROM new_transport",
+    "rec_column_profile": """
+SELECT column_name, n_values, n_numbers, n_moments FROM (
+  SELECT count(nullif(a.o_orderstatus, '')) AS s FROM orders_old a),
+(SELECT count(*) FILTER (o_totalprice <> '') AS t, count(o_orderpriority) AS p FROM orders_old),
+(SELECT count(*) AS n, count(*) FILTER (o_orderkey % 7 <> 0) AS m,
+  count(*) FILTER (o_orderkey % 9 <> 0) AS d FROM orders),
+LATERAL (VALUES ('o_orderstatus', s + m, 0::BIGINT, 0::BIGINT), ('o_totalprice', t, t, 0),
+  ('o_orderpriority', p, 0, 0), ('o_custkey', n, n, 0), ('o_orderdate', n, 0, d)
+) AS v(column_name, n_values, n_numbers, n_moments)""",
+    "rec_type_drift": """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, column_name, old_value, new_value FROM (
+  SELECT *, CAST(o_custkey AS VARCHAR) AS customer, CAST(o_totalprice AS VARCHAR) AS price,
+    CAST(CAST(o_orderdate AS TIMESTAMP) AS VARCHAR) AS moment FROM orders),
+LATERAL (VALUES
+  ('o_custkey', customer, CASE WHEN o_orderkey % 50 = 0 THEN 'n/a'
+    WHEN o_orderkey % 70 = 0 THEN NULL ELSE customer END),
+  ('o_totalprice', price, CASE WHEN o_orderkey % 30 = 0 THEN '7.25' ELSE price END),
+  ('o_orderdate', moment, CASE WHEN o_orderkey % 40 = 0 THEN '1999-01-01 00:00:00' ELSE moment END),
+  ('o_orderstatus', o_orderstatus, CASE WHEN o_orderkey % 60 <> 0 THEN o_orderstatus END)
+) AS v(column_name, old_value, new_value)
+WHERE old_value IS DISTINCT FROM new_value""",
     "refresh_reconciled": " UNION ALL ".join(
         "(" + _summary(name, name, _NEW_NAMES[name], MODEL_TABLES[name]) + ")"
         for name in _NEW_NAMES

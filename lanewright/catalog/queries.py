@@ -12,7 +12,7 @@ from lanewright.catalog.views import AS_OF, PARAMS, raw, view
 from lanewright.functions import bands, nulls
 from lanewright.functions import shipments as sf
 from lanewright.operators import lookup as lk
-from lanewright.operators import quality, rank, reconcile, update
+from lanewright.operators import profile, quality, rank, reconcile, update
 from lanewright.plans import (
     depots,
     flags,
@@ -755,17 +755,61 @@ def rec_summary(i: Inputs) -> DataFrame:
 
 @query
 def rec_numeric_keys(i: Inputs) -> DataFrame:
-    """Keys and an undeclared column as 560 on one side and 560.0 on the other."""
+    """Keys and undeclared columns in other spellings of the same numbers, and one column
+    that a single other value keeps text."""
     key, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
-    old = i.raw_part.select(key.alias("part"), size.alias("size"), "p_brand")
+    padded = F.when(F.col("p_partkey") % 3 == 0, F.lpad(key, 12, "0"))
+    mark = F.when(F.col("p_partkey") == 1, "n/a")
+    old = i.raw_part.select(
+        F.coalesce(padded, F.concat(key, F.lit(".0"))).alias("part"),
+        F.concat(size, F.lit(".10")).alias("share"),
+        size.alias("cost"),
+        F.concat(size, F.lit("e3")).alias("weight"),
+        F.coalesce(mark, F.concat(size, F.lit(".0"))).alias("mark"),
+        "p_brand",
+    )
     new = i.raw_part.filter(F.col("p_partkey") % 10 != 0).select(
-        F.concat(key, F.lit(".0")).alias("part"),
-        F.concat(size, F.when(F.col("p_partkey") % 3 == 0, ".00").otherwise(".0")).alias("size"),
+        key.alias("part"),
+        F.concat(size, F.lit(".1")).alias("share"),
+        F.concat(size, F.lit(".004")).alias("cost"),
+        F.concat(size, F.lit("000")).alias("weight"),
+        F.coalesce(mark, size).alias("mark"),
         F.when(F.col("p_partkey") % 4 == 0, "other").otherwise(F.col("p_brand")).alias("p_brand"),
     )
     return reconcile.summary({"part": old}, {"part": new}, {"part": TableSpec("part", ("part",))})
 
 
+@query
+def rec_column_profile(i: Inputs) -> DataFrame:
+    """Values, numbers and moments of each text column of both sides."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    old = i.orders_old.withColumn("o_orderdate", F.lit(None).cast("timestamp"))
+    new = i.raw_orders.select(
+        "o_orderkey",
+        F.col("o_custkey").cast("string").alias("o_custkey"),
+        F.when(F.col("o_orderkey") % 7 == 0, "").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+        F.when(F.col("o_orderkey") % 9 == 0, "soon").otherwise(day).alias("o_orderdate"),
+    )
+    return profile.column_profile(old, new)
+
+
+@query
+def rec_type_drift(i: Inputs) -> DataFrame:
+    """Cells that differ where columns changed their type between the snapshots."""
+    key = F.col("o_orderkey")
+    old = i.raw_orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus")
+    customer = F.concat(F.col("o_custkey").cast("string"), F.lit(".0"))
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    new = i.raw_orders.select(
+        F.concat(F.lit("0"), key.cast("string")).alias("o_orderkey"),
+        F.when(key % 50 == 0, "n/a").when(key % 70 == 0, "").otherwise(customer).alias("o_custkey"),
+        F.when(key % 30 == 0, "7.25").otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+        F.when(key % 40 == 0, "1999-01-01").otherwise(day).alias("o_orderdate"),
+        F.when(key % 60 == 0, None).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+    )
+    return reconcile.cell_diff(old, new, ["o_orderkey"], ["o_totalprice"])
+
+
 # --- history -----------------------------------------------------------------
 
 
@@ -1136,7 +1180,7 @@ def refresh_transportation(i: Inputs) -> DataFrame:
 def refresh_reconciled(i: Inputs) -> DataFrame:
     """Refresh all tables, then reconcile old against new over all of them."""
     old, new = _refresh(i, refresh.PUBLISHED)
-    return reconcile.summary(old, new, MODEL_TABLES)
+    return reconcile.summary(old, new, MODEL_TABLES, stored=("old",))
 
 
 @query
@@ -1146,4 +1190,4 @@ def refresh_published(i: Inputs) -> DataFrame:
     for tables in _refresh(i, refresh.PUBLISHED):
         staging.publish(tables, root)
     old, new = (staging.read_published(i.spark, root, back=back) for back in (1, 0))
-    return reconcile.summary(old, new, MODEL_TABLES)
+    return reconcile.summary(old, new, MODEL_TABLES, stored=("old", "new"))

@@ -13,7 +13,7 @@ from lanewright.catalog.views import AS_OF
 from lanewright.functions.shipments import within_days, within_months
 from lanewright.operators.lookup import lookup
 from lanewright.operators.quality import ValidationError, gate_report, unreadable_periods
-from lanewright.operators.reconcile import key_diff, normalize, report
+from lanewright.operators.reconcile import key_diff, normalize, report, same_forms
 from lanewright.plans.depots import inventory_limits
 from lanewright.plans.lanes import transport_places
 from lanewright.plans.refresh import refresh
@@ -69,11 +69,14 @@ def test_steps_keep_rows_of_repeated_dimension_keys(spark):
 
 
 def test_number_like_keys_and_undeclared_columns_agree(spark, rows):
-    old = spark.createDataFrame([("560", "5", "01")], "k string, extra string, code string")
-    new = spark.createDataFrame([("560.0", "5.00", "01")], "k string, extra string, code string")
-    a, b = normalize(old), normalize(new)
-    assert rows(a) == rows(b) == [("560", "5", "01")]
+    schema = "k string, extra string, code string"
+    old = spark.createDataFrame([("560", "5", "01"), ("7", "1.0", "x")], schema)
+    new = spark.createDataFrame([("560.0", "5.00", "01"), ("007", "1", "x")], schema)
+    a, b = same_forms(old, new, ["k"])
+    assert rows(a) == rows(b) == [("560", "5", "01"), ("7", "1", "x")]
     assert key_diff(a, b, ["k"]).count() == 0
+    # One side alone does not tell; only blanks go.
+    assert rows(normalize(new)) == rows(new)
 
 
 def test_gate_reports_absent_columns_and_unreadable_numbers(spark, tmp_path, rows):
