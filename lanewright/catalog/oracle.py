@@ -1035,6 +1035,17 @@ SELECT column_name, n_values, n_numbers, n_moments FROM (
 LATERAL (VALUES ('o_orderstatus', s + m, 0::BIGINT, 0::BIGINT), ('o_totalprice', t, t, 0),
   ('o_orderpriority', p, 0, 0), ('o_custkey', n, n, 0), ('o_orderdate', n, 0, d)
 ) AS v(column_name, n_values, n_numbers, n_moments)""",
+    "rec_bucket_diff": """
+SELECT 'orders' AS table_name, kind, '{"o_orderkey":' || id || '}' AS key, column_name, old_value,
+  new_value
+FROM (SELECT *, o_orderkey % 1499 = 0 AS gone, o_orderkey % 1999 = 0 AS added FROM orders),
+LATERAL (VALUES
+  (gone, 'left_only', o_orderkey, NULL, NULL, NULL),
+  (added, 'right_only', -o_orderkey - 1, NULL, NULL, NULL),
+  (NOT gone AND o_orderkey % 997 = 0, 'cell', o_orderkey, 'o_totalprice',
+    CAST(o_totalprice AS VARCHAR), CAST(round(o_totalprice + 10, 2) AS VARCHAR))
+) AS v(holds, kind, id, column_name, old_value, new_value)
+WHERE holds""",
     "rec_type_drift": """
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, column_name, old_value, new_value FROM (
   SELECT *, CAST(o_custkey AS VARCHAR) AS customer, CAST(o_totalprice AS VARCHAR) AS price,

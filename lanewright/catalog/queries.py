@@ -12,7 +12,7 @@ from lanewright.catalog.views import AS_OF, PARAMS, raw, view
 from lanewright.functions import bands, nulls
 from lanewright.functions import shipments as sf
 from lanewright.operators import lookup as lk
-from lanewright.operators import profile, quality, rank, reconcile, update
+from lanewright.operators import profile, quality, rank, reconcile, snapshot_diff, update
 from lanewright.plans import (
     depots,
     flags,
@@ -26,7 +26,7 @@ from lanewright.plans import (
     sizes,
     transfers,
 )
-from lanewright.sources import readers, staging
+from lanewright.sources import readers, staging, versions
 from lanewright.specs import MODEL_TABLES, SIDE_INPUTS, SideInputSpec, TableSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -810,6 +810,24 @@ def rec_type_drift(i: Inputs) -> DataFrame:
     return reconcile.cell_diff(old, new, ["o_orderkey"], ["o_totalprice"])
 
 
+@query
+def rec_bucket_diff(i: Inputs) -> DataFrame:
+    """Differences of two published versions, from the buckets whose digests differ."""
+    key = F.col("o_orderkey")
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
+    old = i.raw_orders.select(*columns)
+    changed = F.when(key % 997 == 0, F.col("o_totalprice") + 10).otherwise(F.col("o_totalprice"))
+    kept = old.filter(key % 1499 != 0)
+    added = old.filter(key % 1999 == 0).withColumn("o_orderkey", -key - 1)
+    new = kept.unionByName(added).withColumn("o_totalprice", changed)
+    specs = {"orders": ORDERS_SPEC}
+    root = f"{staging.Stage(i.spark).root}/published"
+    for tables in (old, new):
+        staging.publish({"orders": tables}, root, specs=specs)
+    newest, before = versions.versions(i.spark, root)[:2]
+    return snapshot_diff.diff_versions(i.spark, root, specs, before, newest)
+
+
 # --- history -----------------------------------------------------------------
 
 

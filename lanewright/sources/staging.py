@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from lanewright.operators.buckets import BUCKET, bucket_digests, by_bucket
+from lanewright.operators.profile import column_profile
+from lanewright.sources.versions import Version, take_version, versions
+from lanewright.specs import TableSpec
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 # Folders of local sessions that name none; the setting cannot be changed later.
@@ -73,57 +79,81 @@ class Stage:
 
 
 def publish(
-    tables: Mapping[str, DataFrame], root: str, run_id: str | None = None
+    tables: Mapping[str, DataFrame],
+    root: str,
+    run_id: str | None = None,
+    specs: Mapping[str, TableSpec] | None = None,
+    buckets: int = 64,
+    based_on: int | None = None,
 ) -> dict[str, int]:
-    """Write a full new snapshot, then make it current.
-
-    All tables are written, as concurrent jobs, under ``root/runs/<run_id>`` first. Appending the
-    manifest rows is one small commit, so readers see the old snapshot whole
-    until it lands, and a failed run leaves the old one in place. Row counts
-    are observed during the writes.
+    """Write a full new snapshot, then make it the newest version.
+
+    All tables are written, as concurrent jobs, under ``root/runs/<run_id>``
+    first. Taking the next version number is one small atomic step, so readers
+    see the old snapshot whole until it lands, and a failed run leaves the old
+    one in place. Rows are counted in the files written.
+
+    With ``specs``, tables with a primary key are laid out in ``buckets`` of
+    their key, and their digests and column profiles are stored, so that two
+    versions can be compared by reading the buckets that differ. ``based_on``
+    is the version the run started from; if another one landed since, the run
+    stays unseen and ``PublishConflict`` is raised.
     """
     run_id = run_id or uuid.uuid4().hex
     root = root.rstrip("/")
     spark = next(iter(tables.values())).sparkSession
-
-    def write(name: str, df: DataFrame) -> int:
-        seen = Observation(f"rows of {name}")
-        counted = df.drop("index").observe(seen, F.count(F.lit(1)).alias("n"))
-        counted.write.mode("errorifexists").parquet(f"{root}/runs/{run_id}/{name}")
-        return seen.get["n"]
+    folder = f"{root}/runs/{run_id}"
+    keys = {n: specs[n].primary_key for n in tables if specs and n in specs and specs[n].primary_key}
+
+    def write(name: str, df: DataFrame) -> tuple[int, str]:
+        df = df.drop("index")
+        if name in keys:
+            df = by_bucket(df, keys[name], buckets)
+            df.write.mode("errorifexists").partitionBy(BUCKET).parquet(f"{folder}/{name}")
+        else:
+            df.write.mode("errorifexists").parquet(f"{folder}/{name}")
+        written = spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+        if name in keys:
+            facts = {
+                "__buckets": bucket_digests(written),
+                "__profiles": column_profile(written.drop(BUCKET), moments=True),
+            }
+            for kind, rows in facts.items():
+                rows.coalesce(1).write.parquet(f"{folder}/{kind}/table_name={name}")
+        return written.count(), df.schema.json()
 
     with ThreadPoolExecutor(max_workers=len(tables)) as pool:
         jobs = {
             name: pool.submit(inheritable_thread_target(spark)(write), name, df)
             for name, df in tables.items()
         }
-        counts = {name: job.result() for name, job in jobs.items()}
-    manifest = spark.createDataFrame(
-        [(run_id, name, n) for name, n in counts.items()],
-        "run_id string, table_name string, n_rows bigint",
-    ).withColumn("published_at", F.current_timestamp())
-    manifest.coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+        done = {name: job.result() for name, job in jobs.items()}
+    counts = {name: n for name, (n, _) in done.items()}
+    schemas = {name: schema for name, (_, schema) in done.items()}
+    take_version(spark, root, run_id, counts, schemas, buckets if keys else 0, based_on)
     return counts
 
 
+def read_run(spark: SparkSession, root: str, version: Version, name: str) -> DataFrame:
+    """A table of a version, with its buckets if it has them."""
+    reader = spark.read
+    if name in version.schemas:
+        reader = reader.schema(StructType.fromJson(json.loads(version.schemas[name])))
+    return reader.parquet(f"{root.rstrip('/')}/runs/{version.run_id}/{name}")
+
+
 def read_published(
     spark: SparkSession, root: str, names: Sequence[str] | None = None, back: int = 0
 ) -> dict[str, DataFrame]:
-    """The current snapshot, or the one published ``back`` runs before it."""
-    root = root.rstrip("/")
-    manifest = spark.read.parquet(f"{root}/manifest")
-    runs = manifest.groupBy("run_id").agg(F.max("published_at").alias("published_at"))
-    newest = Window.orderBy(F.col("published_at").desc(), F.col("run_id").desc())
-    wanted = (
-        runs.withColumn("age", F.row_number().over(newest) - 1).filter(F.col("age") == back)
-    )
-    rows = manifest.join(wanted.select("run_id"), "run_id", "left_semi").collect()
-    if not rows:
+    """The newest version, or the one published ``back`` versions before it."""
+    known = versions(spark, root)
+    if back >= len(known):
         raise LookupError(f"no snapshot {back} runs back under {root}")
+    version = known[back]
     return {
-        r["table_name"]: spark.read.parquet(f"{root}/runs/{r['run_id']}/{r['table_name']}")
-        for r in rows
-        if names is None or r["table_name"] in names
+        name: read_run(spark, root, version, name).drop(BUCKET)
+        for name in version.n_rows
+        if names is None or name in names
     }
 
 
