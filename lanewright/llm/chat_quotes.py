@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 
 WINDOW = 8
 _MARKS = r"^\s*>[>\s]*"
+# A line with a quote mark. Each line is looked at once, however many are blank.
+HAS_QUOTE = r"(?md)^[^\S\n]*+>"
 
 
 def quote_level(line: Column) -> Column:
@@ -104,7 +106,7 @@ def quote_links(messages: DataFrame) -> DataFrame:
 
     ``n_linked`` counts the distinct quoted lines, of any level, with a linked part.
     """
-    quoting = messages.filter(F.col("text").rlike(r"(?m)^\s*>")).select("conv_id").distinct()
+    quoting = messages.filter(F.col("text").rlike(HAS_QUOTE)).select("conv_id").distinct()
     rows = _parts(passages(messages.join(quoting, "conv_id", "left_semi")))
     columns = ["conv_id", "turn", "key", "level", "hash", "part", "touched"]
     quoted = rows.filter("level > 0").groupBy(columns).agg(F.max("whole").alias("whole"))
@@ -136,7 +138,7 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
     lines = F.split("text", r"\r?\n")
     own = F.filter(lines, lambda x: quote_level(x) == 0)
     levels = F.filter(F.transform(lines, quote_level), lambda n: n > 0)
-    has_quote = F.col("text").rlike(r"(?m)^\s*>")
+    has_quote = F.col("text").rlike(HAS_QUOTE)
     plain = messages.filter(~has_quote).withColumns(
         {
             "linked": F.lit(None).cast("long"),

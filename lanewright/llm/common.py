@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -52,6 +53,37 @@ def open_file(uri: str):
     return system.open_input_file(path)
 
 
+def ids_repeat(docs: DataFrame) -> bool:
+    """Whether a doc_id is null or stands for several rows."""
+    counted = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    return not counted.filter("n > 1 OR doc_id IS NULL").isEmpty()
+
+
+def numbered_rows(docs: DataFrame, work: Stage, nulls_last: bool = True) -> DataFrame:
+    """``docs`` with ``__row``, unique and rising with doc_id, as a written table."""
+    order = F.col("doc_id").asc_nulls_last() if nulls_last else F.col("doc_id").asc_nulls_first()
+    rows = docs.orderBy(order).withColumn("__row", F.monotonically_increasing_id())
+    return work.cut(rows, "numbered")
+
+
+def without_rows(
+    docs: DataFrame,
+    work: Stage,
+    dropped: Callable[[DataFrame], DataFrame],
+    nulls_last: bool = True,
+) -> DataFrame:
+    """``docs`` without the rows whose ``doc_id`` the operator ``dropped`` returns.
+
+    Where a doc_id is null or repeats, the operator is given row numbers that
+    rise with it in its place, so each row is judged by its own text.
+    """
+    if not ids_repeat(docs):
+        return docs.join(work.cut(dropped(docs), "dropped"), "doc_id", "left_anti").select(*docs.columns)
+    rows = numbered_rows(docs, work, nulls_last)
+    gone = dropped(rows.withColumn("doc_id", F.col("__row"))).withColumnRenamed("doc_id", "__row")
+    return rows.join(work.cut(gone, "dropped"), "__row", "left_anti").select(*docs.columns)
+
+
 def text_chunks(pdf: pd.DataFrame, column: str = "text") -> Iterator[pd.DataFrame]:
     """Slices of a batch with about CHUNK_CHARS characters, in row order."""
     if not len(pdf):
@@ -139,7 +171,7 @@ def connected_components(stage_: Stage, edges: DataFrame, name: str) -> DataFram
 
     current = stage_.cut(edges.filter("a <> b").select("a", "b").distinct(), f"{name}-edges")
     seen = None
-    for k in range(64):
+    for k in itertools.count():
         current = stage_.cut(star(star(current, True), False), f"{name}-{k}")
         mark = current.agg(
             F.count("*").alias("n"),

@@ -36,6 +36,7 @@ from lanewright.llm.common import (
     shingle_hashes,
     stage,
     text_chunks,
+    without_rows,
 )
 
 SEED = 5
@@ -237,7 +238,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, threshold: float = THRESHOLD
 
 
 def drop_leaked(docs: DataFrame, benchmark: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without those that hold a benchmark item."""
+    """``docs`` without the rows that hold a benchmark item."""
     work = stage(docs.sparkSession, "leaks-drop")
-    leaked = work.cut(leaks(docs, benchmark, threshold=threshold).select("doc_id").distinct(), "leaked")
-    return docs.join(leaked, "doc_id", "left_anti").select(*docs.columns)
+
+    def leaked(rows: DataFrame) -> DataFrame:
+        return leaks(rows, benchmark, threshold=threshold).select("doc_id").distinct()
+
+    return without_rows(docs, work, leaked)

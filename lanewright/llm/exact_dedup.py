@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lanewright.llm.common import stage, text_chunks
+from lanewright.llm.common import stage, text_chunks, without_rows
 
 MIN_CHUNK, MAX_CHUNK = 512, 8192
 # One position in 2**CUT_BITS is a cut, about 2 kB.
@@ -144,7 +144,7 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
         "doc_id",
         "keep_id",
         "group_size",
-        (F.col("doc_id") == F.col("keep_id")).alias("kept"),
+        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         "text_sha256",
     )
 
@@ -152,9 +152,13 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
 def drop_duplicates(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose text no row with a larger doc_id repeats.
 
-    Only repeated rows are looked up, so the texts that stay do not move when
-    Spark finds that list small.
+    Of equal rows one stays; a row without doc_id gives way to any with one. Only
+    repeated rows are looked up, so the texts that stay do not move when Spark
+    finds that list small.
     """
     work = stage(docs.sparkSession, "dedup-drop")
-    dropped = work.cut(duplicate_groups(docs).filter("NOT kept").select("doc_id"), "dropped")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+    def repeated(rows: DataFrame) -> DataFrame:
+        return duplicate_groups(rows).filter("NOT kept").select("doc_id")
+
+    return without_rows(docs, work, repeated, nulls_last=False)

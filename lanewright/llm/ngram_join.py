@@ -42,9 +42,12 @@ from lanewright.llm.common import (
     as_long,
     ascii_words,
     connected_components,
+    ids_repeat,
+    numbered_rows,
     shingle_hashes,
     stage,
     text_chunks,
+    without_rows,
 )
 from lanewright.sources.staging import Stage
 
@@ -451,10 +454,29 @@ def _set_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def similar_components(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
-    spark = docs.sparkSession
-    work: Stage = stage(spark, "ngram-join")
+    """``doc_id, n_shingles, component_id`` for every row of ``docs``.
+
+    Rows of one doc_id are linked by their own texts only. A row without doc_id
+    is a row of its own; its component is named by the smallest doc_id in it, or
+    null.
+    """
+    work: Stage = stage(docs.sparkSession, "ngram-join")
     texts = docs.select("doc_id", "text")
+    if not ids_repeat(texts):
+        return _components(texts, work)
+    rows = numbered_rows(texts, work)
+    found = _components(rows.select(F.col("__row").alias("doc_id"), "text"), work)
+    found = found.withColumnRenamed("doc_id", "__row").join(rows.select("__row", "doc_id"), "__row")
+    # Row numbers rise with doc_id, so the first row of a component has its smallest.
+    named = rows.select(F.col("__row").alias("component_id"), F.col("doc_id").alias("smallest"))
+    return found.join(named, "component_id").select(
+        "doc_id", "n_shingles", F.col("smallest").alias("component_id")
+    )
+
+
+def _components(texts: DataFrame, work: Stage) -> DataFrame:
+    """The same for rows whose doc_ids are unique."""
+    spark = texts.sparkSession
     scan = work.cut(
         texts.mapInPandas(_scan, "kind string, a long, n long, digest long, bits binary"), "scan"
     )
@@ -518,7 +540,10 @@ def similar_components(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with the document of the smallest doc_id of each component."""
+    """``docs`` with the row of the smallest doc_id of each component."""
     work = stage(docs.sparkSession, "ngram-keep")
-    others = similar_components(docs).filter("doc_id <> component_id").select("doc_id")
-    return docs.join(work.cut(others, "others"), "doc_id", "left_anti").select(*docs.columns)
+
+    def others(rows: DataFrame) -> DataFrame:
+        return similar_components(rows).filter("doc_id <> component_id").select("doc_id")
+
+    return without_rows(docs, work, others)

@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lanewright.llm.common import CACHE_WORDS, stage, text_chunks
+from lanewright.llm.common import CACHE_WORDS, stage, text_chunks, without_rows
 from lanewright.sources.staging import Stage
 
 FIT_ROWS = 12_000
@@ -57,8 +57,11 @@ _LETTER = r"[^\W\d_]"
 _EITHER = rf"(?:{_LETTER}|[{_SYMBOLS}])"
 _TRACES = re.compile(
     rf"(.)\1\1|{_LETTER}[{_SYMBOLS}]+{_LETTER}|^[{_SYMBOLS}]+{_LETTER}|{_LETTER}[{re.escape('0134578@$')}]+$"
-    rf"|^(?=.*{_LETTER})\W*?{_EITHER}(?:[{re.escape(_GAPS)}]+{_EITHER}){{2,}}\W*$"
 )
+# Three signs with gaps between them; a word that is gapped throughout has this somewhere.
+_GAPPED = re.compile(rf"{_EITHER}[{re.escape(_GAPS)}]+{_EITHER}[{re.escape(_GAPS)}]+{_EITHER}")
+_IS_LETTER, _IS_EITHER = re.compile(_LETTER).search, re.compile(_EITHER).match
+_IS_MARK = re.compile(r"\W").match
 # Also in plain words: one gap, a doubled letter. Such a word counts beside its reading.
 _SLIGHT = re.compile(rf"({_LETTER})\1|^(?=.*{_LETTER}).*{_EITHER}[{re.escape(_GAPS)}]+{_EITHER}")
 # Symbols and the letters they may stand for as one sign, to find candidates quickly.
@@ -77,6 +80,40 @@ for _space in " \t\n\r\x0b\x0c":
     _TABLE[ord(_space)] = 0
 
 
+def gapped(word: str) -> bool:
+    """Whether a word is three or more letters or symbols, at least one a letter, with gaps
+    between any two, and but for marks around them nothing else.
+
+    A symbol may also be a mark at either end, so the word is read with all
+    places it may be at: 0 before the first sign; 1, 3 and 5 at the first, second
+    and any later sign; 2, 4 and 6 in a gap after it; 7 in the marks at the end.
+    """
+    if not _GAPPED.search(word) or not _IS_LETTER(word):
+        return False
+    at = {0}
+    for c in word:
+        sign, gap, mark = bool(_IS_EITHER(c)), c in _GAPS, bool(_IS_MARK(c))
+        to = set()
+        for k in at:
+            if sign and k in (0, 2, 4, 6):
+                to.add(min(k + 1, 5))
+            if gap and 1 <= k <= 6:
+                to.add(k + k % 2)
+            if mark and k in (0, 7):
+                to.add(k)
+            if mark and k == 5:
+                to.add(7)
+        if not to:
+            return False
+        at = to
+    return 5 in at or 7 in at
+
+
+def traced(word: str) -> bool:
+    """Whether a word looks disguised. Linear in its length."""
+    return bool(_TRACES.search(word)) or gapped(word)
+
+
 def codes_of(text: str) -> np.ndarray:
     points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
     return _TABLE[np.minimum(points, 0x24F)]
@@ -214,7 +251,7 @@ class Scorer:
 
     def _readings(self, word: str) -> list[str]:
         own = [plain(word)]
-        if _TRACES.search(word) or _SLIGHT.search(word):
+        if traced(word) or _SLIGHT.search(word):
             own.extend(map(plain, self.decoder.read(word).split()))
         return own
 
@@ -301,7 +338,7 @@ class Scorer:
 def _fit_words(decoder: Decoder, word: str) -> list[str]:
     """The words that a word of a labelled row counts as."""
     own = []
-    if not _TRACES.search(word):
+    if not traced(word):
         own.append(plain(word))
         if not _SLIGHT.search(word):
             return [x for x in own if x]
@@ -450,7 +487,11 @@ def score_documents(
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """``docs`` without those predicted toxic."""
+    """``docs`` without the rows predicted toxic."""
     work = stage(docs.sparkSession, "toxicity-drop")
-    toxic = score_documents(docs, labels, **options).filter("predicted = 1").select("doc_id").distinct()
-    return docs.join(work.cut(toxic, "toxic"), "doc_id", "left_anti").select(*docs.columns)
+
+    def toxic(rows: DataFrame) -> DataFrame:
+        found = score_documents(rows, labels, **{"fit_on": docs, **options})
+        return found.filter("predicted = 1").select("doc_id")
+
+    return without_rows(docs, work, toxic)
