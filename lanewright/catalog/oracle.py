@@ -1081,3 +1081,9 @@ TEXTS["refresh_published"] = TEXTS["refresh_reconciled"]
 
 _KNOWN = {**VIEWS, **REL}
 ORACLE: dict[str, str] = {name: with_clause(text, _KNOWN) for name, text in TEXTS.items()}
+# The same run on inputs that the gate lets through.
+_FILLED = f"""SELECT * REPLACE (coalesce(type, 'Sort Only') AS type, coalesce(closed, 'N') AS closed)
+FROM ({VIEWS["depot_assumptions"]})"""
+ORACLE["refresh_gated"] = with_clause(
+    TEXTS["refresh_reconciled"], {**_KNOWN, "depot_assumptions": _FILLED}
+)
