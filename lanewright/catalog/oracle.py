@@ -786,6 +786,16 @@ FROM customerfulfillmentpolicies""",
         """CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus <> 'P'
   THEN o_totalprice + 10 ELSE o_totalprice END"""
     ),
+    "upd_fused": """
+WITH l AS (SELECT l_orderkey, count(*) AS n, sum(l_quantity) AS q FROM lineitem GROUP BY 1),
+o AS (SELECT *, CASE WHEN n >= 5 THEN '5-MANY' ELSE 'few' END AS priority, coalesce(q, 0) AS base
+  FROM orders LEFT JOIN l ON l_orderkey = o_orderkey)
+SELECT o_orderkey,
+  CASE WHEN o_orderkey % 3 <> 0 THEN o_orderstatus WHEN o_orderkey % 2 = 0 THEN 'X' END AS o_orderstatus,
+  priority AS o_orderpriority,
+  CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus <> 'P' THEN o_totalprice + 10
+    ELSE base + CASE priority WHEN 'few' THEN 1 ELSE 0 END END AS o_totalprice
+FROM o""",
     "upd_overwrite": _UPDATE.format(
         """CASE WHEN o_orderpriority <> '1-URGENT' THEN o_totalprice
   WHEN o_orderstatus <> 'P' THEN o_totalprice + 10 END"""

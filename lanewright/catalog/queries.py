@@ -392,6 +392,41 @@ def upd_reset_then_update(i: Inputs) -> DataFrame:
     return updated.select("customername", "territory", "inplan")
 
 
+@query
+def upd_fused(i: Inputs) -> DataFrame:
+    """Four updates of orders by their key, with resets and both null rules, in one pass."""
+    lines = i.raw_lineitem.groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("quantity")
+    )
+    many = lines.filter("n_lines >= 5").select(
+        F.col("l_orderkey").alias("o_orderkey"), F.lit("5-MANY").alias("o_orderpriority")
+    )
+    odd = i.raw_orders.filter("o_orderkey % 3 = 0").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, "X").alias("o_orderstatus")
+    )
+    target = i.raw_orders.select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    return update.update_all(
+        target,
+        [
+            update.Update(
+                lines.select("l_orderkey", F.col("quantity").alias("o_totalprice")),
+                {"o_orderkey": "l_orderkey"},
+                ["o_totalprice"],
+                source_is_unique=True,
+                defaults={"o_totalprice": 0.0},
+            ),
+            update.Update(many, ["o_orderkey"], ["o_orderpriority"], defaults={"o_orderpriority": "few"}),
+            update.Update(odd, ["o_orderkey"], ["o_orderstatus"], null_policy="overwrite"),
+            update.Update(
+                _update_source(i),
+                ["o_orderkey"],
+                ["o_totalprice"],
+                defaults={"o_totalprice": F.col("o_totalprice") + F.when(F.col("o_orderpriority") == "few", 1).otherwise(0)},
+            ),
+        ],
+    )
+
+
 @query
 def upd_dedup_first(i: Inputs) -> DataFrame:
     order = [

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lanewright.functions.nulls import floor_at, or_zero
 from lanewright.operators.lookup import lookup
-from lanewright.operators.update import update_by_key
+from lanewright.operators.update import Update, update_all, update_by_key
 from lanewright.specs import Params
 
 
@@ -24,6 +24,10 @@ def fulfillment_unit_cost(policies: DataFrame, depots: DataFrame) -> DataFrame:
 
 
 def facility_attributes(facilities: DataFrame, depots: DataFrame) -> DataFrame:
+    return update_all(facilities, [facility_attributes_update(depots)])
+
+
+def facility_attributes_update(depots: DataFrame) -> Update:
     """Costs, heat treatment, type and status. Only 'D' ids get a status."""
     status = F.when(
         F.col("model_id").startswith("D"),
@@ -39,7 +43,7 @@ def facility_attributes(facilities: DataFrame, depots: DataFrame) -> DataFrame:
     )
     columns = ["fixedoperatingcost", "heat_treatment_rqmt", "depottype", "closed", "status"]
     reset = {"fixedstartupcost": 0.0, "fixedclosingcost": 0.0, "fixedoperatingcost": 0.0}
-    return update_by_key(facilities, source, ["facilityname"], columns, defaults=reset)
+    return Update(source, ["facilityname"], columns, defaults=reset)
 
 
 def inventory_limits(

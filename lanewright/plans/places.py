@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lanewright.functions.nulls import in_list, or_zero
 from lanewright.functions.shipments import RETURN_ROLE, period_number
 from lanewright.operators.lookup import lookup, with_prefix_role
-from lanewright.operators.update import update_by_key
+from lanewright.operators.update import Update, update_all
 from lanewright.specs import Params
 
 # Location types of customers and of return sites.
@@ -29,6 +29,13 @@ def horizon_totals(
 def customer_details(
     customers: DataFrame, locations: DataFrame, demand: DataFrame, params: Params = Params()
 ) -> DataFrame:
+    return update_all(customers, [customer_details_update(customers, locations, demand, params)])
+
+
+def customer_details_update(
+    customers: DataFrame, locations: DataFrame, demand: DataFrame, params: Params = Params()
+) -> Update:
+    """Of ``customers`` only names and location codes are read, which no update writes."""
     kept = locations.filter((F.col("rl_type") == RENTER) | F.col("rl_type").isNull())
     source = lookup(
         customers.select("customername", "loccode"),
@@ -42,8 +49,7 @@ def customer_details(
     ).withColumns(
         {"planquantity": or_zero(F.col("amount")), "issueqty": or_zero(F.col("amount"))}
     )
-    return update_by_key(
-        customers,
+    return Update(
         source,
         ["customername"],
         ["corpcode", "corpname", "planquantity", "issueqty"],
@@ -57,7 +63,21 @@ def return_details(
     production: DataFrame,
     params: Params = Params(),
 ) -> DataFrame:
-    """A return site with two locations of a fitting type is an error."""
+    return update_all(
+        facilities, [return_details_update(facilities, locations, production, params)]
+    )
+
+
+def return_details_update(
+    facilities: DataFrame,
+    locations: DataFrame,
+    production: DataFrame,
+    params: Params = Params(),
+) -> Update:
+    """A return site with two locations of a fitting type is an error.
+
+    Of ``facilities`` only names and location codes are read, which no update writes.
+    """
     kept = locations.filter(in_list(F.col("rl_type"), RETURN_SITE_TYPES))
     source = lookup(
         with_prefix_role(facilities, RETURN_ROLE).select("facilityname", "loccode"),
@@ -70,6 +90,4 @@ def return_details(
     source = lookup(
         source, totals, {"facilityname": "facilityname"}, {"amount": "amount"}
     ).withColumn("returnqty", or_zero(F.col("amount")))
-    return update_by_key(
-        facilities, source, ["facilityname"], ["corpcode", "corpname", "returnqty"]
-    )
+    return Update(source, ["facilityname"], ["corpcode", "corpname", "returnqty"])

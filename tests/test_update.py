@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from lanewright.operators.rank import first_per_key
 from lanewright.operators.update import (
+    Update,
     duplicate_source_keys,
     replace_groups,
     require_unique,
+    update_all,
     update_by_key,
 )
 
@@ -127,3 +129,80 @@ def test_update_agrees_with_row_by_row(spark, rows, target, source, overwrite):
             v = source[k][0]
         expected.append((k, v, w))
     assert rows(out) == sorted(expected, key=repr)
+
+
+_SOURCE = st.lists(
+    st.tuples(st.sampled_from(["x", "y", "z", None]), st.sampled_from([None, 1.0, 2.0]), st.sampled_from([None, "p", "q"])),
+    max_size=4, unique_by=lambda r: r[0],
+)
+_STEP = st.tuples(
+    _SOURCE,
+    st.sampled_from([["a"], ["b"], ["a", "b"]]),
+    st.sampled_from(["keep", "overwrite"]),
+    st.sampled_from(["none", "literal", "column"]),
+)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(steps=st.lists(_STEP, min_size=2, max_size=4), null_safe=st.booleans())
+def test_fused_updates_equal_the_chain(spark, target, rows, steps, null_safe):
+    updates = []
+    for source, columns, policy, default in steps:
+        defaults = {"none": {}, "literal": {"b": "reset"}, "column": {"a": F.col("a") + 1, "b": F.upper("b")}}
+        updates.append(
+            Update(
+                spark.createDataFrame(source, T.replace("k ", "key ")), {"k": "key"}, columns,
+                null_policy=policy, defaults=defaults[default], null_safe_keys=null_safe,
+            )
+        )
+    chain = target
+    for u in updates:
+        chain = update_by_key(
+            chain, u.source, u.keys, u.columns, null_policy=u.null_policy, defaults=u.defaults,
+            null_safe_keys=null_safe,
+        )
+    fused = update_all(target, updates)
+    assert fused.dtypes == target.dtypes
+    assert rows(fused) == rows(chain)
+
+
+def test_fused_updates_check_each_source(spark, target, rows):
+    once = spark.createDataFrame([("x", 7.0, "q")], T)
+    twice = spark.createDataFrame([("x", 7.0, "q"), ("x", 5.0, "p")], T)
+    with pytest.raises(PySparkException, match=r"repeats a key of \(k\): x"):
+        update_all(target, [Update(once, ["k"], ["a"]), Update(twice, ["k"], ["b"])]).collect()
+    kept = Update(twice, ["k"], ["b"], on_duplicate="first", order_by=["b"])
+    assert rows(update_all(target, [Update(once, ["k"], ["a"]), kept])).count(("x", 7.0, "p")) == 2
+    with pytest.raises(ValueError, match="missing in source"):
+        update_all(target, [Update(once, ["k"], ["a"]), Update(once, ["k"], ["c"])])
+
+
+def test_an_update_of_a_key_ends_the_run(spark, target, rows):
+    rename = spark.createDataFrame([("x", "y")], "old string, k string")
+    write = spark.createDataFrame([("y", 9.0)], "k string, a double")
+    updates = [Update(rename, {"k": "old"}, ["k"]), Update(write, ["k"], ["a"]), Update(write, {"b": "k"}, ["a"])]
+    assert rows(update_all(target, updates), "k", "a") == sorted(
+        [("y", 9.0), ("y", 9.0), ("y", 9.0), (None, 4.0)], key=repr
+    )
+
+
+def test_fused_updates_move_the_target_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        target = spark.range(100).selectExpr("id as k", "id as a", "id as b", "'wide' as note")
+        source = spark.range(50).selectExpr("id as k", "-id as a", "id + 1 as b")
+        updates = [Update(source, ["k"], [c]) for c in ("a", "b", "a")]
+
+        def moves(df):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            return plan.count("SortMergeJoin"), plan.count("Exchange hashpartitioning")
+
+        chain = target
+        for u in updates:
+            chain = update_by_key(chain, u.source, u.keys, u.columns)
+        assert moves(update_all(target, updates)) == (1, 2)
+        assert moves(chain)[0] == 3 and moves(chain)[1] > 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
