@@ -32,6 +32,7 @@ from lanewright.llm.common import CACHE_WORDS, text_chunks
 
 _META = "▁"
 _NONE = np.int64(1) << 40
+_SLOT_BITS = 20
 _WORD = re.compile(f"{_META}*[^{_META}]+|{_META}+")
 
 
@@ -53,12 +54,18 @@ class PieceModel:
         self.byte_id = {b: i for i, b in self.byte_of.items()}
         self.begin, self.end, self.unknown = model.bos_id(), model.eos_id(), model.unk_id()
         self.silent = {i for i in range(n) if model.is_control(i)}
+        self.special = set(np.flatnonzero(special).tolist())
         self.ids = {p: i for i, p in enumerate(self.pieces) if not special[i]}
         # Rank: place by falling score; equal scores keep the same rank.
         scores = np.array([model.get_score(i) for i in range(n)])
         self.rank = np.searchsorted(np.unique(-scores), -scores).astype(np.int64)
         self._build_pairs()
-        self.known: dict[str, bytes] = {}
+        if _META not in self.ids:
+            raise ValueError("the model has no piece for white space")
+        # Words to their ids and their decoded text. A full memory becomes the older half;
+        # what comes again moves back.
+        self.known: dict[str, tuple[bytes, str]] = {}
+        self.older: dict[str, tuple[bytes, str]] = {}
 
     def _build_pairs(self) -> None:
         """Every way to put a piece together from two symbols.
@@ -80,6 +87,7 @@ class PieceModel:
         order = np.argsort(keys)
         self.pair_keys, self.pair_piece = keys[order], table[order, 2]
         self.pair_rank = self.rank[self.pair_piece]
+        self._build_slots()
         # Best rank of any piece built from a symbol, to see where a round may merge all.
         best = np.full(base, _NONE)
         for side in (0, 1):
@@ -87,21 +95,45 @@ class PieceModel:
             np.minimum.at(best, table[own, side], self.rank[table[own, 2]])
         self.all_at_once = best > self.rank
 
+    def _build_slots(self) -> None:
+        """Two hash tables from pair keys to rows: the second takes what meets in the first."""
+        odd = np.random.default_rng(0)
+        rest, self.slots = np.arange(len(self.pair_keys)), []
+        while len(rest):
+            if len(self.slots) == 8:
+                raise ValueError("pair keys do not spread")
+            factor = np.uint64(int(odd.integers(1 << 63)) * 2 + 1)
+            table = np.full(1 << _SLOT_BITS, -1, np.int32)
+            at = self._slot(self.pair_keys[rest], factor)
+            table[at] = rest
+            self.slots.append((factor, table))
+            rest = rest[table[at] != rest]
+
+    @staticmethod
+    def _slot(keys: np.ndarray, factor: np.uint64) -> np.ndarray:
+        return ((keys.view(np.uint64) * factor) >> np.uint64(64 - _SLOT_BITS)).view(np.int64)
+
     def _find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Row of the pair table, or -1."""
         keys = left << 21 | right
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        return np.where(self.pair_keys[at] == keys, at, -1)
+        found = np.full(len(keys), -1)
+        for factor, table in self.slots:
+            row = table[self._slot(keys, factor)]
+            same = self.pair_keys[row] == keys
+            same &= row >= 0
+            found[same] = row[same]
+        return found
 
-    def merge(self, words: list[str]) -> list[np.ndarray]:
-        """Symbols of each word after all merges. Words are not empty."""
+    def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of all words after all merges, end to end, and how many each word has.
+        Words are not empty."""
         base = len(self.pieces)
         lengths = np.array([len(w) for w in words])
         points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
         chars, inverse = np.unique(points, return_inverse=True)
         symbols = np.array([self.ids.get(chr(c), base + c) for c in chars], np.int64)[inverse]
         word = np.repeat(np.arange(len(words)), lengths)
-        done: list[np.ndarray | None] = [None] * len(words)
+        done, done_word = [], []
         while len(symbols):
             pair = np.full(len(symbols), -1)
             same = word[1:] == word[:-1]
@@ -112,8 +144,9 @@ class PieceModel:
             sizes = np.diff(np.append(starts, len(symbols)))
             least = np.minimum.reduceat(rank, starts)
             live = least < _NONE
-            for k in np.flatnonzero(~live):
-                done[word[starts[k]]] = symbols[starts[k] : starts[k] + sizes[k]].copy()
+            over = np.repeat(~live, sizes)
+            done.append(symbols[over])
+            done_word.append(word[over])
             if not live.any():
                 break
             chosen = np.flatnonzero((rank == np.repeat(least, sizes)) & (pair >= 0))
@@ -131,66 +164,103 @@ class PieceModel:
             even = run % 2 == 0
             chosen, merged = chosen[even], merged[even]
             symbols[chosen] = merged
-            keep = np.repeat(live, sizes)
+            keep = ~over
             keep[chosen + 1] = False
             symbols, word = symbols[keep], word[keep]
-        return done
+        places = np.concatenate(done_word)
+        order = np.argsort(places, kind="stable")
+        return np.concatenate(done)[order], np.bincount(places, minlength=len(words))
 
     def encode_words(self, words: list[str]) -> None:
-        """Put the ids of new words into the cache."""
+        """Put the ids and the text of new words into the cache."""
         base = len(self.pieces)
-        for word, symbols in zip(words, self.merge(words)):
-            if len(symbols) and symbols.max() >= base:
-                ids: list[int] = []
-                for s in symbols.tolist():
+        symbols, lengths = self.merge(words)
+        ends = np.cumsum(lengths)
+        foreign = np.flatnonzero(symbols >= base)
+        odd = dict.fromkeys(np.searchsorted(ends, foreign, side="right").tolist())
+        packed, listed = symbols.astype("<u4").tobytes(), symbols.tolist()
+        a = 0
+        for k, (word, b) in enumerate(zip(words, ends.tolist())):
+            ids, data = listed[a:b], packed[4 * a : 4 * b]
+            if k in odd:
+                own: list[int] = []
+                for s in ids:
                     if s < base:
-                        ids.append(s)
+                        own.append(s)
                     else:
                         raw = chr(s - base).encode("utf-8", "replace")
-                        ids.extend(self.byte_id.get(b, self.unknown) for b in raw)
-                symbols = np.array(ids)
-            self.known[word] = symbols.astype("<u4").tobytes()
+                        own.extend(self.byte_id.get(c, self.unknown) for c in raw)
+                ids, data = own, np.array(own, "<u4").tobytes()
+            self.known[word] = (data, self._text(ids))
+            a = b
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of whole texts with the begin and end ids."""
+    def _words(self, texts: list[str | None]) -> list[list[str]]:
+        """Words of each text, all of them known."""
         if len(self.known) >= CACHE_WORDS:
-            self.known.clear()
+            self.known, self.older = {}, self.known
         split = [_WORD.findall(_META + t.replace(" ", _META)) if t else [] for t in texts]
-        new = list({w for words in split for w in words} - self.known.keys())
+        missing = {w for words in split for w in words} - self.known.keys()
+        again = missing & self.older.keys()
+        self.known.update((w, self.older[w]) for w in again)
+        new = list(missing - again)
         at = size = 0
         for k, w in enumerate(new, 1):
             size += len(w)
             if size >= 200_000 or k == len(new):
                 self.encode_words(new[at:k])
                 at, size = k, 0
+        return split
+
+    def encode_decode(self, texts: list[str | None]) -> list[tuple[np.ndarray, str]]:
+        """Ids of whole texts with the begin and end ids, and the text they decode to.
+
+        A word starts with a piece of the model, so no run of byte ids reaches into
+        it, and its ids decode to the same text wherever it stands.
+        """
+        begin, end = np.array([self.begin], "<u4").tobytes(), np.array([self.end], "<u4").tobytes()
+        split = self._words(texts)
+        get, out = self.known.__getitem__, []
+        for words in split:
+            found = list(map(get, words))
+            ids = np.frombuffer(begin + b"".join([f[0] for f in found]) + end, "<u4")
+            out.append((ids, "".join([f[1] for f in found])[1:]))
+        return out
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of whole texts with the begin and end ids."""
         begin, end = np.array([self.begin], "<u4").tobytes(), np.array([self.end], "<u4").tobytes()
+        split = self._words(texts)
         get = self.known.__getitem__
-        return [np.frombuffer(begin + b"".join(map(get, w)) + end, "<u4") for w in split]
+        return [
+            np.frombuffer(begin + b"".join([get(w)[0] for w in words]) + end, "<u4") for words in split
+        ]
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of the ids. Control ids are silent, the unknown id gives the
         library's mark, runs of byte ids are UTF-8, and the space that encoding
         put before the text goes."""
         values = ids.tolist()
-        if not self.byte_of.keys().isdisjoint(values) or self.unknown in values:
-            parts, raw = [], bytearray()
-            for i in [*values, self.end]:
-                if i in self.byte_of:
-                    raw.append(self.byte_of[i])
-                    continue
-                if raw:
-                    parts.append(_utf8(bytes(raw)))
-                    raw.clear()
-                if i == self.unknown:
-                    parts.append(" ⁇ ")
-                elif i not in self.silent:
-                    parts.append(self.pieces[i].replace(_META, " "))
-            text = "".join(parts)
-            first = next((i for i in values if i not in self.silent), None)
-            lead = first is not None and self.pieces[first].startswith(_META)
-            return text[1:] if lead else text
-        text = "".join([self.pieces[i] for i in values if i not in self.silent])
-        return (text[1:] if text.startswith(_META) else text).replace(_META, " ")
+        text = self._text(values)
+        first = next((i for i in values if i not in self.silent), None)
+        lead = first is not None and first not in self.special and self.pieces[first].startswith(_META)
+        return text[1:] if lead else text
+
+    def _text(self, values: list[int]) -> str:
+        if self.special.isdisjoint(values):
+            return "".join([self.pieces[i] for i in values]).replace(_META, " ")
+        parts, raw = [], bytearray()
+        for i in [*values, self.end]:
+            if i in self.byte_of:
+                raw.append(self.byte_of[i])
+                continue
+            if raw:
+                parts.append(_utf8(bytes(raw)))
+                raw.clear()
+            if i == self.unknown:
+                parts.append(" ⁇ ")
+            elif i not in self.silent:
+                parts.append(self.pieces[i].replace(_META, " "))
+        return "".join(parts)
 
 
 def _utf8(raw: bytes) -> str:
@@ -212,15 +282,13 @@ def piece_digest(docs: DataFrame, *, model_path: str) -> DataFrame:
         model = PieceModel(model_path)
         for batch in batches:
             for pdf in text_chunks(batch):
-                ids = model.encode(list(pdf["text"]))
+                done = model.encode_decode(list(pdf["text"]))
                 yield pd.DataFrame(
                     {
                         "doc_id": pdf["doc_id"],
-                        "n_tokens": [len(x) for x in ids],
-                        "ids_sha256": [hashlib.sha256(x.tobytes()).hexdigest() for x in ids],
-                        "decoded_sha256": [
-                            hashlib.sha256(model.decode(x).encode()).hexdigest() for x in ids
-                        ],
+                        "n_tokens": [len(x) for x, _ in done],
+                        "ids_sha256": [hashlib.sha256(x.tobytes()).hexdigest() for x, _ in done],
+                        "decoded_sha256": [hashlib.sha256(t.encode()).hexdigest() for _, t in done],
                     }
                 )
 
