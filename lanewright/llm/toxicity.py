@@ -28,7 +28,7 @@ not read.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -241,6 +241,38 @@ def signs(word: str) -> str:
     return _REPEATS.sub(r"\1", plain(word).translate(_SIGNS))
 
 
+def _all_signs(word: str) -> str:
+    """Signs of all that a reading of the word may hold, its outer marks too."""
+    return _REPEATS.sub(r"\1", word.translate(_SIGNS))
+
+
+class _Reachable:
+    """Whether any reading of a word can hold a weighted word or beginning.
+
+    A word of a reading comes from a stretch of the characters, of which gaps and
+    repeats are dropped and symbols become letters of the same sign. So its signs
+    are a part of the signs of the whole, and a word in which no weighted word's
+    signs are found needs no decoding: the result is the same without.
+    """
+
+    def __init__(self, weights: Iterable[str]):
+        import ahocorasick
+
+        parts = {_all_signs(f.removesuffix("*")) for f in weights}
+        # Something that leaves no sign may be anywhere.
+        self.always = "" in parts
+        self.automaton = ahocorasick.Automaton()
+        for part in parts - {""}:
+            self.automaton.add_word(part, part)
+        if len(self.automaton):
+            self.automaton.make_automaton()
+
+    def __call__(self, word: str) -> bool:
+        if self.always or not len(self.automaton):
+            return self.always
+        return next(self.automaton.iter(_all_signs(word)), None) is not None
+
+
 class Scorer:
     """Weights of words under a fitted model, with a bounded cache."""
 
@@ -248,10 +280,11 @@ class Scorer:
         self.weights, self.decoder, self.known = weights, Decoder(model), {}
         self.whole = {signs(f) for f in weights if not f.endswith("*")}
         self.starts = {s[:k] for s in self.whole for k in range(1, len(s))}
+        self.reachable = _Reachable(weights)
 
     def _readings(self, word: str) -> list[str]:
         own = [plain(word)]
-        if traced(word) or _SLIGHT.search(word):
+        if self.reachable(word) and (traced(word) or _SLIGHT.search(word)):
             own.extend(map(plain, self.decoder.read(word).split()))
         return own
 

@@ -123,3 +123,24 @@ def test_quote_lines_as_before(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     found = df.select(df.t.rlike(chat_quotes.HAS_QUOTE).alias("a"), df.t.rlike(r"(?m)^\s*>").alias("b")).collect()
     assert all(r.a == r.b for r in found)
+
+
+def test_words_that_cannot_hold_a_weighted_one_need_no_decoding():
+    import numpy as np
+
+    rng = random.Random(11)
+    model = np.random.default_rng(2).normal(-3, 1, (64, 64, 64))
+    weights = {"moron": 4.0, "loser": 3.0, "ass": 2.5, "idio*": 3.5, "stup*": 2.2, "taxi": 2.1, "b4d": 2.3}
+    scorer, plainly = (toxicity.Scorer(weights, model) for _ in range(2))
+    plainly.reachable = lambda word: True
+    base = ["moron", "loser", "ass", "idiot", "stupid", "taxi", "b4d", "calm", "lossy", "bill", "mass", "class"]
+    swap = {"o": "0", "i": "1!|", "l": "1|", "e": "3", "a": "4@", "s": "5$", "t": "7+", "b": "8", "d": "d"}
+    for _ in range(4000):
+        letters = []
+        for c in rng.choice(base) + rng.choice(["", "", rng.choice(base)]):
+            c = rng.choice(swap[c]) if c in swap and rng.random() < 0.3 else c
+            letters += [c] * rng.choice([1, 1, 1, 2, 3]) + [rng.choice(".-_ *!(")] * (rng.random() < 0.2)
+        text = "".join(letters)
+        assert scorer.evidence(text) == plainly.evidence(text), text
+        for word in text.split():
+            assert scorer.weight(word) == plainly.weight(word), word
