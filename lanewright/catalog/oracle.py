@@ -972,6 +972,12 @@ FROM (SELECT count(*) FILTER (p_partkey % 10 = 0) AS gone,
     ('changed_cells', changed)) AS v(check_name, n)""",
     "hist_depots_per_customer": "SELECT * FROM nod",
     "hist_load_size": "SELECT * FROM sizes",
+    "hist_incremental": """
+SELECT 'depots' AS kind, movetype, model_id AS name, number_of_depots AS n, CAST(NULL AS DOUBLE) AS size
+FROM nod
+UNION ALL SELECT 'sizes', movetype, customer_name, load_count, average_cube FROM sizes
+UNION ALL SELECT 'lanes', movetype, lane_id, cpu_loads + dedicated_loads + other_loads, NULL
+FROM loads60""",
     "hist_lane_loads": "SELECT * FROM loads60",
     "hist_lane_costs": f"""SELECT * REPLACE (round(ttl_cost, 4) AS ttl_cost, {_shown(_MOMENTS)})
 FROM ({_costs(3)})""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
@@ -17,6 +18,7 @@ from lanewright.plans import (
     depots,
     flags,
     history,
+    history_states,
     lanes,
     multisource,
     penalties,
@@ -900,6 +902,33 @@ def hist_cost_per_load(i: Inputs) -> DataFrame:
     return history.cost_per_load(_costs(i), PARAMS.min_line_haul, PARAMS.min_loads)
 
 
+@query
+def hist_incremental(i: Inputs) -> DataFrame:
+    """Three windows from monthly states: all months stored, then the last ones anew."""
+    root = f"{staging.Stage(i.spark).root}/states"
+    known = F.date_sub(F.lit(AS_OF), 40)
+    history_states.write_months(i.shipments.filter(F.col("date_to") < known), root)
+    history_states.write_months(i.shipments, root, AS_OF - dt.timedelta(days=40))
+
+    def window(days: int | None) -> DataFrame:
+        return history_states.read_window(i.spark, root, AS_OF, days)
+
+    served = history_states.depots_per_customer(window(PARAMS.days_depots), i.locations)
+    found = history_states.load_sizes(window(PARAMS.days_load_size), i.locations)
+    loads = history_states.lane_loads(window(60), i.locations, i.carrier_types)
+    served = history.depots_by_model_id(served, i.customers, i.facilities)
+    found = history.load_sizes_by_model_id(found, i.customers, i.facilities)
+    n_loads = F.col("cpu_loads") + F.col("dedicated_loads") + F.col("other_loads")
+    none = F.lit(None).cast("double").alias("size")
+    parts = [
+        served.select(F.lit("depots").alias("kind"), "movetype", F.col("model_id").alias("name"),
+                      F.col("number_of_depots").alias("n"), none),
+        found.select(F.lit("sizes"), "movetype", "customer_name", "load_count", "average_cube"),
+        loads.select(F.lit("lanes"), "movetype", "lane_id", n_loads, none),
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
 def _lane_types(i: Inputs) -> DataFrame:
     cost = history.cost_per_load(_costs(i), PARAMS.min_line_haul, PARAMS.min_loads)
     return history.lane_types(_lane_loads(i, PARAMS.days_lane_loads), cost)

@@ -100,6 +100,11 @@ def depots_per_customer(
         )
         .distinct()
     )
+    return depots_of_lanes(lanes, locations)
+
+
+def depots_of_lanes(lanes: DataFrame, locations: DataFrame) -> DataFrame:
+    """The same from the distinct ``movetype, location_from, location_to``."""
     kind = F.col("movetype")
     coded = _with_ends(lanes, locations).select(
         "movetype",
@@ -143,6 +148,11 @@ def load_sizes(
         "location_from",
         "location_to",
     ).agg(F.count(F.lit(1)).alias("n"), F.sum(or_zero(F.col("qty_to"))).alias("quantity"))
+    return load_sizes_of_ends(by_ends, locations)
+
+
+def load_sizes_of_ends(by_ends: DataFrame, locations: DataFrame) -> DataFrame:
+    """The same from ``n, quantity`` by move type and both locations."""
     kind = F.col("movetype")
     coded = _with_ends(by_ends, locations, "name").select(
         "movetype",
@@ -199,6 +209,13 @@ def lane_loads(
     by_ends = kept.groupBy(
         move_type(F.col("tnumber")).alias("movetype"), "location_from", "location_to", "scac"
     ).agg(F.count(F.lit(1)).alias("n"))
+    return lane_loads_of_ends(by_ends, locations, carrier_types)
+
+
+def lane_loads_of_ends(
+    by_ends: DataFrame, locations: DataFrame, carrier_types: DataFrame
+) -> DataFrame:
+    """The same from ``n`` by move type, both locations and carrier."""
     kind = F.col("movetype")
     coded = _with_ends(_with_carrier(by_ends, carrier_types), locations, "name").select(
         "movetype",
