@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lanewright.llm.blocks import WORD_BITS, binaries, in_blocks, load, save
+from lanewright.llm.blocks import WORD_BITS, binaries, in_blocks, load, pack, save, unpack
 from lanewright.llm.common import mix64, stage
 from lanewright.sources.staging import Stage
 
@@ -147,17 +147,17 @@ def _extend(blocks: DataFrame, units: DataFrame, words: int, folder: str) -> Dat
     """Stripes of every block whose prefixes have ``words`` words.
 
     ``blocks`` has ``block, uri``: the unit at each place. ``units`` has ``block,
-    unit, key, f`` of the frequent ones. Gives ``block, uri`` with the new units,
+    unit, key, f`` of the frequent ones, or ``block, members`` with many packed
+    together. Gives ``block, uri`` with the new units,
     and per prefix and shard ``next, n``, the new units counting up from ``first``.
     """
 
     def run(key, block: pa.Table, units_: pa.Table) -> pa.Table:
-        m = units_.num_rows
-        if not m or not block.num_rows:
+        if not units_.num_rows or not block.num_rows:
             return _STRIPES.empty_table()
-        keys, total = _keys(units_["key"], words), units_["f"].to_numpy()
+        numbers, keys, total = _units(units_, words)
+        m = len(numbers)
         at = load(block["uri"][0].as_py())["unit"]
-        numbers = units_["unit"].to_numpy()
         dense = np.zeros(max(int(at.max(initial=0)), int(numbers.max())) + 1, np.int64)
         dense[numbers] = np.arange(1, m + 1)
         at = dense[at]
@@ -204,12 +204,22 @@ def _extend(blocks: DataFrame, units: DataFrame, words: int, folder: str) -> Dat
     schema = (
         "block long, uri string, prefix binary, shard int, first int, next array<long>, n array<int>"
     )
-    own = units.select(F.col("block").alias("of_block"), "unit", "key", "f")
+    others = [c for c in units.columns if c != "block"]
+    own = units.select(F.col("block").alias("of_block"), *others)
     return blocks.groupBy("block").cogroup(own.groupBy("of_block")).applyInArrow(run, schema)
 
 
+def _units(rows: pa.Table, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of units, the ids of their words, and their counts."""
+    if "members" not in rows.column_names:
+        return rows["unit"].to_numpy(), _keys(rows["key"], words), rows["f"].to_numpy()
+    packed = [unpack(m) for m in rows["members"].to_pylist()]
+    number, key, f = (np.concatenate([p[c] for p in packed]) for c in ("unit", "key", "f"))
+    return number, key.reshape(-1, words), f
+
+
 _MERGED = pa.schema(
-    [("block", pa.int64()), ("unit", pa.int32()), ("key", pa.binary()), ("f", pa.int64())]
+    [("block", pa.int64()), ("members", pa.binary()), ("key", pa.binary()), ("f", pa.int64())]
 )
 
 
@@ -217,7 +227,8 @@ def _merge(stripes: DataFrame, words: int, least: int) -> DataFrame:
     """Add stripes of equal prefix and shard, word by word.
 
     Gives ``key, f`` of every phrase of ``words + 1`` words that occurs at least
-    ``least`` times, and the same with ``block, unit`` for each block that has it.
+    ``least`` times, and ``block, members`` for the blocks that have them: the
+    units of the block with their keys and counts, packed.
     """
 
     def added(table: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -241,13 +252,24 @@ def _merge(stripes: DataFrame, words: int, least: int) -> DataFrame:
         if not len(kept):
             return
         key = np.column_stack([prefix[stripe[kept]], follows[kept]])
-        yield from _rows(np.zeros(len(kept), bool), None, None, key, f[frequent])
+        for k in range(0, len(kept), 100_000):
+            part = slice(k, k + 100_000)
+            n_rows = len(kept[part])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.nulls(n_rows, pa.int64()),
+                    pa.nulls(n_rows, pa.binary()),
+                    _key_column(key[part]),
+                    pa.array(f[frequent][part]),
+                ],
+                schema=_MERGED,
+            )
         if words + 1 < LONGEST:
             member = np.repeat(frequent, sizes)
             own = np.repeat(np.arange(len(kept)), sizes[frequent])
             block = table["block"].to_numpy()[stripe[member]]
             unit = table["first"].to_numpy()[stripe[member]] + place[member]
-            yield from _rows(np.ones(len(own), bool), block, unit, key[own], f[frequent][own])
+            yield from _packed(block, unit, key[own], f[frequent][own])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -267,7 +289,7 @@ def _merge(stripes: DataFrame, words: int, least: int) -> DataFrame:
 
     met = stripes.select("block", "prefix", "shard", "first", "next", "n")
     met = met.repartition("prefix", "shard").sortWithinPartitions("prefix", "shard")
-    return met.mapInArrow(run, "block long, unit int, key binary, f long")
+    return met.mapInArrow(run, "block long, members binary, key binary, f long")
 
 
 def _last_start(table: pa.Table) -> int:
@@ -279,19 +301,27 @@ def _last_start(table: pa.Table) -> int:
     return k
 
 
-def _rows(placed, block, unit, key: np.ndarray, f: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for a in range(0, len(placed), 100_000):
-        part = slice(a, a + 100_000)
-        size = len(placed[part])
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.nulls(size, pa.int64()) if block is None else pa.array(block[part]),
-                pa.nulls(size, pa.int32()) if unit is None else pa.array(unit[part].astype(np.int32)),
-                _key_column(key[part]),
-                pa.array(f[part]),
-            ],
-            schema=_MERGED,
-        )
+def _packed(
+    block: np.ndarray, unit: np.ndarray, key: np.ndarray, f: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """A row a block with what belongs to it."""
+    order = np.lexsort((unit, block))
+    block, unit, key, f = block[order], unit[order].astype(np.int32), key[order], f[order]
+    starts = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+    members = [
+        pack({"unit": unit[a:b], "key": key[a:b].ravel(), "f": f[a:b]})
+        for a, b in zip(starts, np.append(starts[1:], len(block)))
+    ]
+    n = len(starts)
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array(block[starts]),
+            pa.array(members, pa.binary()),
+            pa.nulls(n, pa.binary()),
+            pa.nulls(n, pa.int64()),
+        ],
+        schema=_MERGED,
+    )
 
 
 def _as_key(word_id: Column) -> Column:
@@ -349,7 +379,7 @@ def collocations(
         stripes = work.cut(_extend(blocks, units, k, folder), f"stripes-{k}")
         merged = work.cut(_merge(stripes.filter("prefix is not null"), k, least), f"merged-{k}")
         blocks = stripes.filter("prefix is null").select("block", "uri")
-        units = merged.filter("block is not null")
+        units = merged.filter("block is not null").select("block", "members")
         levels.append(merged.filter("block is null").select("key", "f"))
     scored = work.cut(_scored(levels, subsumed_percent), "scored")
     return _ranked(scored, words, sizes, top)
