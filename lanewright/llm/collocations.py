@@ -12,7 +12,9 @@ to the blocks that have it, and only two frequent phrases side by side, one word
 apart, are extended. This leaves out no frequent phrase and changes no count.
 
 A stripe is cut into shards by a hash of the next word, as many as the total of
-its prefix asks for, so one very common prefix is the work of many tasks.
+its prefix asks for, so one very common prefix is the work of many tasks. Shards
+travel in buckets by a hash of prefix and shard: a block packs what it has for a
+bucket into one row, and a task adds up one bucket at a time.
 
 Defined cases: null and empty texts have no words; a null lang counts as
 ``und``; a text of any length is read whole; equal and null doc_ids are rows of
@@ -36,8 +38,8 @@ from lanewright.sources.staging import Stage
 LONGEST = 4
 # Occurrences of a prefix that one shard of its stripe covers.
 SHARD = 200_000
-# Entries of stripes added together at a time.
-MERGE_ENTRIES = 2_000_000
+# Buckets a shuffle partition is cut into; one bucket is held in memory.
+BUCKETS_EACH = 4
 
 # Splits of the texts: A-Z lowered, tabs as spaces, the marks that end a piece as line feeds.
 _UPPER, _LOWER = bytes(range(65, 91)), bytes(range(97, 123))
@@ -134,22 +136,30 @@ _STRIPES = pa.schema(
     [
         ("block", pa.int64()),
         ("uri", pa.string()),
-        ("prefix", pa.binary()),
-        ("shard", pa.int32()),
+        ("bucket", pa.int32()),
         ("first", pa.int32()),
-        ("next", pa.list_(pa.int64())),
-        ("n", pa.list_(pa.int32())),
+        ("stripes", pa.binary()),
     ]
 )
 
 
-def _extend(blocks: DataFrame, units: DataFrame, words: int, folder: str) -> DataFrame:
+def _bucket(prefix: np.ndarray, shard: np.ndarray, buckets: int) -> np.ndarray:
+    value = shard.astype(np.uint64)
+    for word in prefix.T:
+        value = mix64(value * np.uint64(31) + word.astype(np.uint64))
+    return (value % np.uint64(buckets)).astype(np.int64)
+
+
+def _extend(
+    blocks: DataFrame, units: DataFrame, words: int, folder: str, buckets: int
+) -> DataFrame:
     """Stripes of every block whose prefixes have ``words`` words.
 
     ``blocks`` has ``block, uri``: the unit at each place. ``units`` has ``block,
     unit, key, f`` of the frequent ones, or ``block, members`` with many packed
-    together. Gives ``block, uri`` with the new units,
-    and per prefix and shard ``next, n``, the new units counting up from ``first``.
+    together. Gives ``block, uri`` with the new units and, for each bucket, its
+    stripes, packed; the new units count up from ``first`` in the order of their
+    entries.
     """
 
     def run(key, block: pa.Table, units_: pa.Table) -> pa.Table:
@@ -172,8 +182,10 @@ def _extend(blocks: DataFrame, units: DataFrame, words: int, folder: str) -> Dat
         left, follows = pairs // m, keys[pairs % m, words - 1]
         shards = (1 + total[left] // SHARD).astype(np.uint64)
         shard = (mix64(follows.astype(np.uint64)) % shards).astype(np.int32)
-        order = np.lexsort((shard, left)) if (shards > 1).any() else np.arange(len(left))
+        bucket = _bucket(keys[left], shard, buckets)
+        order = np.lexsort((shard, left, bucket))
         left, shard, follows, n = left[order], shard[order], follows[order], n[order]
+        bucket = bucket[order]
         uri = None
         if words < LONGEST - 1:
             number = np.empty(len(order), np.int32)
@@ -181,32 +193,33 @@ def _extend(blocks: DataFrame, units: DataFrame, words: int, folder: str) -> Dat
             place = np.zeros(len(at), np.int32)
             place[here] = number[which]
             uri = save(folder, {"unit": place})
-        starts = np.flatnonzero(
-            np.append(True, (left[1:] != left[:-1]) | (shard[1:] != shard[:-1]))
-        )
-        offsets = pa.array(np.append(starts, len(left)).astype(np.int32))
-        k = len(starts)
-        stripes = pa.Table.from_arrays(
-            [
-                pa.array(np.full(k, block["block"][0].as_py())),
-                pa.nulls(k, pa.string()),
-                _key_column(keys[left[starts]]),
-                pa.array(shard[starts]),
-                pa.array((starts + 1).astype(np.int32)),
-                pa.ListArray.from_arrays(offsets, pa.array(follows)),
-                pa.ListArray.from_arrays(offsets, pa.array(n.astype(np.int32))),
-            ],
-            schema=_STRIPES,
+        own = block["block"][0].as_py()
+        rows = [(own, uri, None, None, None)]
+        cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])).tolist()
+        for a, b in zip(cuts, [*cuts[1:], len(bucket)]):
+            change = (left[a + 1 : b] != left[a : b - 1]) | (shard[a + 1 : b] != shard[a : b - 1])
+            starts = np.flatnonzero(np.append(True, change))
+            packed = pack(
+                {
+                    "prefix": keys[left[a + starts]].ravel(),
+                    "shard": shard[a + starts],
+                    "size": np.diff(np.append(starts, b - a)).astype(np.int32),
+                    "next": follows[a:b],
+                    "n": n[a:b].astype(np.int32),
+                }
+            )
+            rows.append((own, None, int(bucket[a]), a + 1, packed))
+        return pa.Table.from_arrays(
+            [pa.array(c, t.type) for c, t in zip(zip(*rows), _STRIPES)], schema=_STRIPES
         )
-        own = {"block": [block["block"][0].as_py()], "uri": [uri]}
-        return pa.concat_tables([pa.Table.from_pydict(own), stripes], promote_options="default")
 
-    schema = (
-        "block long, uri string, prefix binary, shard int, first int, next array<long>, n array<int>"
-    )
+    schema = "block long, uri string, bucket int, first int, stripes binary"
     others = [c for c in units.columns if c != "block"]
     own = units.select(F.col("block").alias("of_block"), *others)
-    return blocks.groupBy("block").cogroup(own.groupBy("of_block")).applyInArrow(run, schema)
+    # The rows are few and small for the work they stand for, so the tasks are counted.
+    n_tasks = buckets // BUCKETS_EACH
+    mine, found = blocks.repartition(n_tasks, "block"), own.repartition(n_tasks, "of_block")
+    return mine.groupBy("block").cogroup(found.groupBy("of_block")).applyInArrow(run, schema)
 
 
 def _units(rows: pa.Table, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -223,7 +236,7 @@ _MERGED = pa.schema(
 )
 
 
-def _merge(stripes: DataFrame, words: int, least: int) -> DataFrame:
+def _merge(stripes: DataFrame, words: int, least: int, buckets: int) -> DataFrame:
     """Add stripes of equal prefix and shard, word by word.
 
     Gives ``key, f`` of every phrase of ``words + 1`` words that occurs at least
@@ -231,18 +244,21 @@ def _merge(stripes: DataFrame, words: int, least: int) -> DataFrame:
     units of the block with their keys and counts, packed.
     """
 
-    def added(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        prefix, shard = _keys(table["prefix"], words), table["shard"].to_numpy()
-        new = (prefix[1:] != prefix[:-1]).any(1) | (shard[1:] != shard[:-1])
-        group = np.cumsum(np.append(0, new))
-        lists = table["next"].combine_chunks()
-        lengths = lists.value_lengths().to_numpy()
-        follows = lists.flatten().to_numpy()
-        n = table["n"].combine_chunks().flatten().to_numpy()
-        stripe = np.repeat(np.arange(len(lengths)), lengths)
-        place = np.arange(len(stripe)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    def added(rows: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+        parts = [unpack(packed) for _, _, packed in rows]
+        whole = {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
+        prefix, shard = whole["prefix"].reshape(-1, words), whole["shard"]
+        by = np.lexsort((shard, *prefix.T))
+        new = (prefix[by[1:]] != prefix[by[:-1]]).any(1) | (shard[by[1:]] != shard[by[:-1]])
+        group = np.empty(len(by), np.int64)
+        group[by] = np.cumsum(np.append(0, new))
+        stripe = np.repeat(np.arange(len(by)), whole["size"])
+        sizes_ = [len(p["next"]) for p in parts]
+        block = np.repeat([r[0] for r in rows], sizes_)
+        unit = np.concatenate([r[1] + np.arange(k) for r, k in zip(rows, sizes_)])
+        follows, n = whole["next"], whole["n"]
         order = np.lexsort((follows, group[stripe]))
-        stripe, follows, place, n = stripe[order], follows[order], place[order], n[order]
+        stripe, follows, n = stripe[order], follows[order], n[order]
         change = (group[stripe[1:]] != group[stripe[:-1]]) | (follows[1:] != follows[:-1])
         starts = np.flatnonzero(np.append(True, change))
         f = np.add.reduceat(n.astype(np.int64), starts)
@@ -267,40 +283,26 @@ def _merge(stripes: DataFrame, words: int, least: int) -> DataFrame:
         if words + 1 < LONGEST:
             member = np.repeat(frequent, sizes)
             own = np.repeat(np.arange(len(kept)), sizes[frequent])
-            block = table["block"].to_numpy()[stripe[member]]
-            unit = table["first"].to_numpy()[stripe[member]] + place[member]
+            block, unit = block[order][member], unit[order][member]
             yield from _packed(block, unit, key[own], f[frequent][own])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        last, held = None, []
         for batch in batches:
-            held.append(batch)
-            size += len(batch["next"].flatten())
-            if size < MERGE_ENTRIES:
-                continue
-            table = pa.Table.from_batches(held).combine_chunks()
-            last = _last_start(table)
-            if last:
-                yield from added(table.slice(0, last))
-            rest = table.slice(last)
-            held, size = rest.to_batches(), len(rest["next"].combine_chunks().flatten())
-        if held and sum(len(b) for b in held):
-            yield from added(pa.Table.from_batches(held).combine_chunks())
-
-    met = stripes.select("block", "prefix", "shard", "first", "next", "n")
-    met = met.repartition("prefix", "shard").sortWithinPartitions("prefix", "shard")
+            for bucket, *row in zip(*[c.to_pylist() for c in batch.columns]):
+                if bucket != last and held:
+                    yield from added(held)
+                    held = []
+                last = bucket
+                held.append(row)
+        if held:
+            yield from added(held)
+
+    met = stripes.select("bucket", "block", "first", "stripes")
+    met = met.repartition(buckets // BUCKETS_EACH, "bucket").sortWithinPartitions("bucket")
     return met.mapInArrow(run, "block long, members binary, key binary, f long")
 
 
-def _last_start(table: pa.Table) -> int:
-    """Where the last run of equal prefix and shard starts."""
-    prefix, shard = table["prefix"].to_pylist(), table["shard"].to_pylist()
-    k = len(prefix) - 1
-    while k and (prefix[k - 1], shard[k - 1]) == (prefix[-1], shard[-1]):
-        k -= 1
-    return k
-
-
 def _packed(
     block: np.ndarray, unit: np.ndarray, key: np.ndarray, f: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
@@ -375,10 +377,12 @@ def collocations(
     blocks = coded.filter("uri is not null").select("block", "uri")
     units = counted.select("block", "unit", _as_key(F.col("id")).alias("key"), "f")
     levels = [words.select(_as_key(F.col("id")).alias("key"), "f")]
+    buckets = BUCKETS_EACH * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for k in range(1, LONGEST):
-        stripes = work.cut(_extend(blocks, units, k, folder), f"stripes-{k}")
-        merged = work.cut(_merge(stripes.filter("prefix is not null"), k, least), f"merged-{k}")
-        blocks = stripes.filter("prefix is null").select("block", "uri")
+        stripes = work.cut(_extend(blocks, units, k, folder, buckets), f"stripes-{k}")
+        merged = _merge(stripes.filter("bucket is not null"), k, least, buckets)
+        merged = work.cut(merged, f"merged-{k}")
+        blocks = stripes.filter("bucket is null").select("block", "uri")
         units = merged.filter("block is not null").select("block", "members")
         levels.append(merged.filter("block is null").select("key", "f"))
     scored = work.cut(_scored(levels, subsumed_percent), "scored")

@@ -172,10 +172,10 @@ def prose():
     return rows
 
 
-@pytest.mark.parametrize("shard, entries, chars", [(200_000, 2_000_000, 32_000_000), (40, 30, 3_000)])
-def test_collocations(spark, prose, monkeypatch, shard, entries, chars):
+@pytest.mark.parametrize("shard, buckets, chars", [(200_000, 4, 32_000_000), (40, 9, 3_000)])
+def test_collocations(spark, prose, monkeypatch, shard, buckets, chars):
     monkeypatch.setattr(collocations, "SHARD", shard)
-    monkeypatch.setattr(collocations, "MERGE_ENTRIES", entries)
+    monkeypatch.setattr(collocations, "BUCKETS_EACH", buckets)
     monkeypatch.setattr(blocks, "BLOCK_CHARS", chars)
     df = spark.createDataFrame(prose, DOCS).repartition(3)
     for least, top in ((30, 2000), (4, 25)):
