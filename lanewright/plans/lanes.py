@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanewright.functions.bands import depots_band, mileage_band, pallet_band
 from lanewright.functions.nulls import in_list, is_true, or_zero
 from lanewright.functions.shipments import RETURN_ROLE
 from lanewright.operators.lookup import lookup
-from lanewright.operators.rank import first_per_key, top_per_group
+from lanewright.operators.rank import top_per_group
 from lanewright.operators.update import update_by_key
 from lanewright.plans.places import horizon_totals
 from lanewright.specs import Params
@@ -54,6 +56,10 @@ def add_to_model(params: Params = Params()) -> Column:
     return is_true(candidate)
 
 
+def _is_open(status: str, depottype: str) -> Column:
+    return (F.col(status) == "Include") & in_list(F.col(depottype), CLOSEST_TYPES)
+
+
 def _miles(params: Params) -> Column:
     miles = F.col("distance").cast("double")
     if params.missing_distance is None:
@@ -66,14 +72,12 @@ def _with_place(
     places: DataFrame,
     on: dict[str, str],
     end: str,
-    depottype: str | None = None,
+    **further: str,
 ) -> DataFrame:
-    """Region columns of one lane end, prefixed 'o' or 'd', and its depot type."""
+    """Region columns of one lane end, prefixed 'o' or 'd', and ``further`` ones."""
     names = {"georegion": "region"}
     take = {f"{end}{names.get(c, c)}": c for c in _PLACE_COLUMNS}
-    if depottype is not None:
-        take[depottype] = "depottype"
-    return lookup(df, places, on, take, one_row=True)
+    return lookup(df, places, on, {**take, **further}, one_row=True)
 
 
 def _with_bands(df: DataFrame, params: Params, extra_condition: Column | None = None):
@@ -104,9 +108,7 @@ def closest_depots(
     Ties go to the lower depot type, then the lower name. Missing distances
     come last.
     """
-    open_depots = facilities.filter(
-        (F.col("status") == "Include") & in_list(F.col("depottype"), CLOSEST_TYPES)
-    )
+    open_depots = facilities.filter(_is_open("status", "depottype"))
     lanes = policies.select(location, depot, _miles(params).alias("miles")).dropna(
         subset=[location]
     )
@@ -117,13 +119,46 @@ def closest_depots(
     return top_per_group(near, [location], order).select(location, depot)
 
 
-def _with_closest(df: DataFrame, closest: DataFrame, location: str, depot: str) -> DataFrame:
-    marked = lookup(df, closest, {location: location}, {"__closest": depot})
-    hit = is_true(F.col("__closest") == F.col(depot))
-    return marked.withColumn("closestdepot", F.when(hit, "Y").otherwise("N")).drop("__closest")
+_OWN_COLUMNS = ["planflag", "distance", "greenfieldcandidate", "cpudedicated"]
 
 
-_OWN_COLUMNS = ["planflag", "distance", "greenfieldcandidate", "cpudedicated"]
+def lane_grain(
+    policies: DataFrame, keys: Sequence[str], params: Params = Params()
+) -> DataFrame:
+    """One row per lane: own values of its first product, and ``least_miles`` of any.
+
+    The only narrow read of the policy table: products are folded before the
+    shuffle, so what moves is a row a lane and map task. Rows of one product
+    that repeat give their smallest own values; a missing product comes last.
+    Lanes with a missing end are left out.
+    """
+    own = F.struct(F.col("productname").isNull().alias("none"), "productname", *_OWN_COLUMNS)
+    folded = (
+        policies.select(*keys, own.alias("own"), _miles(params).alias("any_miles"))
+        .dropna(subset=list(keys))
+        .groupBy(*keys)
+        .agg(F.min("own").alias("own"), F.min("any_miles").alias("least_miles"))
+    )
+    lanes = folded.select(*keys, *[f"own.{c}" for c in _OWN_COLUMNS], "least_miles")
+    return lanes.withColumn("miles", _miles(params))
+
+
+def _with_closest(
+    lanes: DataFrame, location: str, depot: str, depottype: str, status: str, among: Column | None = None
+) -> DataFrame:
+    """Flag the nearest open depot of each location, by the order of ``closest_depots``.
+
+    Lanes are folded already, so a location has a row a depot and no more, and
+    the window of a location with a third of all policies is as short as others.
+    """
+    fits = _is_open(status, depottype)
+    if among is not None:
+        fits = fits & among
+    miles = F.col("least_miles")
+    order = F.struct(miles.isNull().alias("none"), "least_miles", depottype, depot)
+    nearest = F.min(F.when(fits, order)).over(Window.partitionBy(location))
+    hit = is_true(nearest[depot] == F.col(depot))
+    return lanes.withColumn("closestdepot", F.when(hit, "Y").otherwise("N"))
 
 
 def fulfillment_attributes(
@@ -136,11 +171,12 @@ def fulfillment_attributes(
 ) -> DataFrame:
     """Attributes per (customer, source); the first product decides own values."""
     keys = ["customername", "sourcename"]
-    lanes = first_per_key(
-        policies.select(*keys, "productname", *_OWN_COLUMNS), keys, ["productname"]
-    ).withColumn("miles", _miles(params))
-    # Lookups on one key stand together: past broadcast size they share a shuffle.
-    lanes = _with_place(lanes, facilities, {"sourcename": "facilityname"}, "o", "depottype")
+    lanes = lane_grain(policies, keys, params)
+    # What goes by one key stands together: past broadcast size it shares a shuffle.
+    lanes = _with_place(
+        lanes, facilities, {"sourcename": "facilityname"}, "o", depottype="depottype", ostatus="status"
+    )
+    lanes = _with_closest(lanes, "customername", "sourcename", "depottype", "ostatus")
     lanes = _with_place(lanes, customers, {"customername": "customername"}, "d")
     monthly = horizon_totals(demand, "customername", "quantity", params, mean=True)
     lanes = lookup(lanes, monthly, {"customername": "customername"}, {"amount": "amount"})
@@ -152,8 +188,6 @@ def fulfillment_attributes(
         one_row=True,
     )
     lanes = _with_bands(lanes, params)
-    closest = closest_depots(policies, facilities, "customername", "sourcename", params)
-    lanes = _with_closest(lanes, closest, "customername", "sourcename")
     return update_by_key(policies, lanes, keys, FULFILLMENT_COLUMNS, source_is_unique=True)
 
 
@@ -166,11 +200,12 @@ def replenishment_attributes(
 ) -> DataFrame:
     """The same with a facility at both ends; only return lanes are candidates."""
     keys = ["facilityname", "sourcename"]
-    lanes = first_per_key(
-        policies.select(*keys, "productname", *_OWN_COLUMNS), keys, ["productname"]
-    ).withColumn("miles", _miles(params))
+    lanes = lane_grain(policies, keys, params)
     for key, end in (("facilityname", "d"), ("sourcename", "o")):
-        lanes = _with_place(lanes, facilities, {key: "facilityname"}, end, f"{end}depottype")
+        further = {f"{end}depottype": "depottype", f"{end}status": "status"}
+        lanes = _with_place(lanes, facilities, {key: "facilityname"}, end, **further)
+    returns = F.col("sourcename").startswith("R")
+    lanes = _with_closest(lanes, "sourcename", "facilityname", "ddepottype", "dstatus", returns)
     forecast = production.filter(F.col("notes") == params.returns_notes)
     monthly = horizon_totals(forecast, "facilityname", "constraintvalue", params, mean=True)
     lanes = lookup(lanes, monthly, {"sourcename": "facilityname"}, {"amount": "amount"})
@@ -182,9 +217,6 @@ def replenishment_attributes(
         one_row=True,
     )
     lanes = _with_bands(lanes, params, F.col("sourcename").startswith(RETURN_ROLE))
-    returns = policies.filter(F.col("sourcename").startswith("R"))
-    closest = closest_depots(returns, facilities, "sourcename", "facilityname", params)
-    lanes = _with_closest(lanes, closest, "sourcename", "facilityname")
     return update_by_key(policies, lanes, keys, REPLENISHMENT_COLUMNS, source_is_unique=True)
 
 
