@@ -9,7 +9,8 @@ has them as its own, so a quote that is cut or wrapped at another width links
 too. Of the levels that link, the shallowest decides, since deeper ones quote
 what the answered message quotes: a message replies to the earlier message that
 holds most of the whole passages of that level, then most of its parts, then the
-later of equals; without a link, to the turn before it. Messages are ordered
+later of equals; without a link, to the last turn before it that the conversation
+has, whatever its number. Messages are ordered
 within a conversation by the turn they reply to and then by their own, so none
 comes before the message it answers. Text is left without its quotes.
 
@@ -20,7 +21,7 @@ of them.
 Defined cases: a null text is empty; a message of quotes alone has an empty
 text; a line of marks alone is a quote with no content and links to nothing; a
 quote of a later or of no message is taken out and links to nothing; the first
-turn replies to nothing; repeated rows each stay, with the same reply; null
+turn of a conversation, or one without a number, replies to nothing; repeated rows each stay, with the same reply; null
 keys form conversations of their own by equality of nulls; an empty table gives
 no rows; other columns are not read.
 """
@@ -30,7 +31,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lanewright.llm.common import stage
+
 WINDOW = 8
+RUN = 1024  # numbers of turns whose predecessors are looked for together
 _MARKS = r"^\s*>[>\s]*"
 # A line with a quote mark. Each line is looked at once, however many are blank.
 HAS_QUOTE = r"(?md)^[^\S\n]*+>"
@@ -131,6 +135,27 @@ def quote_links(messages: DataFrame) -> DataFrame:
     )
 
 
+def _number_before() -> Column:
+    return F.when(F.col("turn") > 0, F.col("turn") - 1)
+
+
+def gaps(messages: DataFrame) -> DataFrame:
+    """``conv_id, turn, previous`` of the turns that do not follow the number before them.
+
+    A conversation is looked at in runs of RUN numbers and then run by run, so
+    a conversation with a third of all turns is sorted by many tasks.
+    """
+    turns = messages.select("conv_id", "turn").dropna(subset=["turn"]).distinct()
+    turns = turns.withColumn("run", F.expr(f"turn div {RUN}"))
+    inside = F.lag("turn").over(Window.partitionBy("conv_id", "run").orderBy("turn"))
+    runs = turns.groupBy(F.col("conv_id").alias("c"), F.col("run").alias("r")).agg(F.max("turn").alias("last"))
+    runs = runs.withColumn("last", F.lag("last").over(Window.partitionBy("c").orderBy("r")))
+    same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("run") == F.col("r"))
+    previous = F.coalesce("inside", "last").alias("previous")
+    found = turns.withColumn("inside", inside).join(runs, same).select("conv_id", "turn", previous)
+    return found.filter(~F.col("previous").eqNullSafe(_number_before()))
+
+
 def reply_ordered(messages: DataFrame) -> DataFrame:
     """``conv_id, turn, role, text, reply_to, max_level, n_quoted, n_linked``, in order."""
     messages = messages.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
@@ -158,9 +183,14 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
         F.size(levels).alias("n_quoted"),
         F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
     )
-    before = F.when(F.col("turn") > 0, F.col("turn") - 1)
+    # Written first, so that its size, most often none, decides how it is joined.
+    late = stage(messages.sparkSession, "chat").cut(gaps(messages), "gaps")
+    late = late.select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), F.lit(True).alias("late"), "previous")
+    same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("turn") == F.col("t"))
+    before = F.when(F.col("late"), F.col("previous")).otherwise(_number_before())
     return (
         plain.unionByName(quoting)
+        .join(late, same, "left")
         .select(
             "conv_id", "turn", "role", "text", F.coalesce("linked", before).alias("reply_to"),
             "max_level", "n_quoted", "n_linked",

@@ -45,6 +45,21 @@ def _replies(spark, texts):
     return {r.turn: (r.reply_to, r.n_linked) for r in chat_quotes.reply_ordered(messages).collect()}
 
 
+def test_a_message_answers_the_last_turn_there_is(spark):
+    many = [3000 + 7 * k for k in range(400)]
+    turns = {1: [0, 5, 6, 2050, 2050], 2: [3], 3: [-4, -1, 0, 1], None: [0, 2], 4: many, 5: [None, 1]}
+    rows = [(c, t, "user", "x") for c, ts in turns.items() for t in ts]
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = {(r.conv_id, r.turn, r.reply_to) for r in chat_quotes.reply_ordered(messages).collect()}
+    want = set()
+    for c, ts in turns.items():
+        for t in ts:
+            earlier = [u for u in ts if t is not None and u is not None and u < t]
+            want.add((c, t, max(earlier, default=None)))
+    assert found == want
+    assert chat_quotes.reply_ordered(messages).count() == len(rows)
+
+
 def test_the_shallowest_quote_decides(spark):
     first = "one line here\nanother line here\nthird line here"
     second = "".join(f"> {x}\n" for x in first.split("\n")) + "my own line"
