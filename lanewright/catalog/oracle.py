@@ -731,6 +731,17 @@ TEXTS: dict[str, str] = {
         for name, spec in MODEL_TABLES.items()
     ),
     "src_side_input_typed": "SELECT * FROM depot_assumptions",
+    "src_side_inputs": " UNION ALL ".join(
+        f"SELECT '{name}' AS input_name, '*' AS column_name, count(*) AS n_values,"
+        f" CAST(NULL AS DOUBLE) AS total FROM {name}"
+        + "".join(
+            f" UNION ALL SELECT '{name}', '{c}', count({c}), "
+            + (f"round(sum(CAST({c} AS DOUBLE)), 2)" if c in spec.numeric else "NULL")
+            + f" FROM {name}"
+            for c in spec.columns.values()
+        )
+        for name, spec in SIDE_INPUTS.items()
+    ),
     "snk_roundtrip": "SELECT * FROM transportationpolicies",
     "prj_rename_select": """SELECT 'Issue' AS movetype, loccode AS customer,
   customername AS model_id FROM customers""",
@@ -1009,8 +1020,10 @@ FROM ({return_details("facilities")})""",
 FROM ({fulfillment_attributes("customerfulfillmentpolicies", "customers", "facilities")})""",
     "lane_add_to_model": f"""SELECT {_ISSUE}, CASE WHEN planflag = 'N' AND distance <= 1000
   AND greenfieldcandidate = 'Y' AND cpudedicated IS NULL
-  AND (distance * 4 <= 3500 OR number_of_depots >= 2) THEN 'Y' ELSE 'N' END AS addtomodel
-FROM customerfulfillmentpolicies LEFT JOIN nod ON customername = model_id""",
+  AND (coalesce(q, 0) <= 3500 OR number_of_depots >= 2) THEN 'Y' ELSE 'N' END AS addtomodel
+FROM customerfulfillmentpolicies LEFT JOIN nod ON customername = model_id
+  LEFT JOIN (SELECT customername AS c, avg(quantity) AS q FROM customerdemand
+    WHERE {_PERIOD_NO} <= 12 GROUP BY 1) d ON customername = c""",
     "lane_closest_depot": f"""SELECT {_ISSUE}, closestdepot
 FROM ({fulfillment_attributes("customerfulfillmentpolicies", "customers", "facilities")})""",
     "lane_replenishment": f"""SELECT {_MOVE}, odepottype, ddepottype, {", ".join(_KEPT_LANE)}

@@ -121,14 +121,54 @@ def src_model_tables(i: Inputs) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _kept_as_csv(i: Inputs, stage: staging.Stage, name: str) -> DataFrame:
+    """The side input as people keep it: one CSV file, notes above the header,
+    cells that are quoted; read back typed. Such a sheet is one file by its
+    nature, and the reader wants it so."""
+    spec = SIDE_INPUTS[name]
+    sheet = getattr(i, name)
+    present = [(old, new) for old, new in spec.columns.items() if new in sheet.columns]
+    quoted = {"escape": '"', "quoteAll": "true"}
+    cells = F.struct(*[F.col(new).cast("string").alias(old) for old, new in present])
+    notes = [f"notes on {name}, line {k + 1}" for k in range(spec.header_row)]
+    header = ",".join(f'"{old}"' for old, _ in present)
+    above = i.spark.createDataFrame(list(enumerate([*notes, header])), "at int, value string")
+    body = sheet.select(F.lit(spec.header_row + 1).alias("at"), F.to_csv(cells, quoted).alias("value"))
+    path = f"{stage.root}/sheets/{name}"
+    lines = above.unionByName(body).repartition(1).sortWithinPartitions("at")
+    lines.select("value").write.text(path)
+    return readers.read_side_input(i.spark, path, spec)
+
+
 @query
 def src_side_input_typed(i: Inputs) -> DataFrame:
-    """A side input under its header texts, all text, read typed."""
-    spec = SIDE_INPUTS["depot_assumptions"]
-    sheet = i.depot_assumptions.select(
-        *[F.col(new).cast("string").alias(old) for old, new in spec.columns.items()]
-    )
-    return readers.typed_side_input(sheet, spec, spec.columns)
+    """A side input kept as a CSV file, its notes skipped, read under plan names and typed."""
+    return _kept_as_csv(i, staging.Stage(i.spark), "depot_assumptions")
+
+
+@query
+def src_side_inputs(i: Inputs) -> DataFrame:
+    """All side inputs kept as CSV files and read back: rows, and values of each column."""
+    stage = staging.Stage(i.spark)
+    parts = []
+    for name, sheet in i.side().items():
+        df = _kept_as_csv(i, stage, name)
+        numbers = [c for c in SIDE_INPUTS[name].numeric if c in df.columns]
+        total = {c: F.round(F.sum(c), 2) for c in numbers}
+        none = F.lit(None).cast("double")
+        facts = df.agg(
+            F.count(F.lit(1)).alias("rows"),
+            *[F.struct(F.count(c).alias("n"), total.get(c, none).alias("t")).alias(c) for c in df.columns],
+        )
+        lines = [F.struct(F.lit("*").alias("column_name"), F.col("rows").alias("n_values"), none.alias("total"))]
+        lines += [
+            F.struct(
+                F.lit(c).alias("column_name"), F.col(c)["n"].alias("n_values"), F.col(c)["t"].alias("total")
+            )
+            for c in df.columns
+        ]
+        parts.append(facts.select(F.lit(name).alias("input_name"), F.inline(F.array(*lines))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -1065,15 +1105,17 @@ def lane_attributes(i: Inputs) -> DataFrame:
 
 @query
 def lane_add_to_model(i: Inputs) -> DataFrame:
-    """The candidate rule over all fulfilment rows, with a late-joined second depot."""
+    """The candidate rule over all fulfilment rows, with the customer's mean monthly demand."""
+    monthly = places.horizon_totals(i.customerdemand, "customername", "quantity", PARAMS, mean=True)
     served = lk.lookup(
         i.customerfulfillmentpolicies,
         _served(i),
         {"customername": "model_id"},
         {"number_of_depots": "number_of_depots"},
     )
+    served = lk.lookup(served, monthly, {"customername": "customername"}, {"amount": "amount"})
     rows = served.withColumns(
-        {"miles": F.col("distance"), "monthly_avg": F.col("distance") * 4}
+        {"miles": F.col("distance"), "monthly_avg": nulls.or_zero(F.col("amount"))}
     )
     verdict = F.when(lanes.add_to_model(PARAMS), "Y").otherwise("N")
     return rows.select(*_ISSUE_KEYS, verdict.alias("addtomodel"))

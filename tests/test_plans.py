@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import datetime as dt
 
 import pytest
@@ -466,3 +467,45 @@ def test_preferred_pairs_run_both_ways(spark, rows, facilities):
         ("D_DEP01", "R_CUS04", "N"),
         ("D_DEP02", "D_DEP01", "Y"),
     ]
+
+
+def test_closest_flags_agree_with_the_ranking(spark):
+    """Ties, missing distances, products and ends, closed and unknown depots, a hot customer."""
+    pick = random.Random(5)
+    types = ["Full Service", "Sort Only", "Storage", None]
+    depots_ = [(f"D_{k}", pick.choice(types), pick.choice(["Include", "Include", "Exclude"])) for k in range(12)]
+    wide = "country georegion territory subterritory zone".split()
+    places_ = spark.createDataFrame(depots_, "facilityname string, depottype string, status string")
+    places_ = places_.selectExpr("*", *[f"'x' {c}" for c in wide])
+    rows_ = {
+        (
+            pick.choice(["I_hot", "I_hot", *[f"I_{k}" for k in range(30)], None]),
+            f"D_{pick.randrange(14)}" if pick.random() < 0.95 else None,
+            pick.choice(["RFU", "WIP", "MIX", None]),
+        ): pick.choice([None, 5.0, 7.0, 900.0, 1500.0])
+        for _ in range(800)
+    }
+    written = lanes.FULFILLMENT_COLUMNS
+    policies = spark.createDataFrame(
+        [(*k, v, "N", "Y", None) for k, v in rows_.items()],
+        "customername string, sourcename string, productname string, distance double, "
+        "planflag string, greenfieldcandidate string, cpudedicated string",
+    ).selectExpr("*", *[f"cast(null as {'double' if c in ('monthly_avg', 'number_of_depots_served') else 'string'}) {c}" for c in written])
+    customers = policies.selectExpr("customername", *[f"'y' {c}" for c in wide]).distinct()
+    demand = spark.createDataFrame([("I_1", "P1", 10.0)], "customername string, periodname string, quantity double")
+    served = spark.createDataFrame([("I_1", 2)], "model_id string, number_of_depots long")
+    out = lanes.fulfillment_attributes(policies, customers, places_, demand, served)
+    near = {tuple(r) for r in lanes.closest_depots(policies, places_, "customername", "sourcename").collect()}
+    found = out.select("customername", "sourcename", "closestdepot").collect()
+    assert len(found) == len(rows_) and len(near) > 20
+    for customer, depot, flag in found:
+        known = customer is not None and depot is not None
+        assert flag == (("Y" if (customer, depot) in near else "N") if known else None)
+    first = {}
+    for (customer, depot, product), miles in rows_.items():
+        order = (product is None, product or "")
+        if customer and depot and order <= first.get((customer, depot), (order,))[0]:
+            first[customer, depot] = (order, miles)
+    bands = {(r.customername, r.sourcename): r.mileageband for r in out.collect()}
+    for lane, (_, miles) in first.items():
+        assert (bands[lane] is None) == (miles is None)
