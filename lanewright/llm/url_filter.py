@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 
 from lanewright.llm.common import stage
 
-# 2**14 blocks are 128 kB whatever the number of rules; use more for long lists.
-BLOCK_BITS = 14
+# Blocks of 64 bits, as a power of two: four rules a block, within these bounds. From the
+# upper one on (2 MB, a million rules) the filter passes more, and the exact join does the rest.
+LEAST_BLOCK_BITS, MOST_BLOCK_BITS = 14, 18
+RULES_A_BLOCK = 4
 PROBES = 5
 SEPARATOR = "\t"
 
@@ -62,7 +64,12 @@ def _mask(key: Column) -> Column:
     return mask
 
 
-def bloom_blocks(keys: DataFrame, block_bits: int = BLOCK_BITS) -> dict[int, int]:
+def block_bits_for(n_rules: int) -> int:
+    wanted = max(1, -(-n_rules // RULES_A_BLOCK) - 1).bit_length()
+    return min(max(wanted, LEAST_BLOCK_BITS), MOST_BLOCK_BITS)
+
+
+def bloom_blocks(keys: DataFrame, block_bits: int) -> dict[int, int]:
     """Blocks with a bit set. At most ``2**block_bits`` of them reach the driver."""
     rows = (
         keys.select(_block(F.col("key"), block_bits).alias("block"), _mask(F.col("key")).alias("mask"))
@@ -76,13 +83,14 @@ def bloom_blocks(keys: DataFrame, block_bits: int = BLOCK_BITS) -> dict[int, int
 def _might_contain(key: Column, blocks: dict[int, int], block_bits: int) -> Column:
     if not blocks:
         return F.lit(False)
-    if len(blocks) * 8 < 1 << block_bits:
-        # Few blocks: a sorted lookup of those set takes less room than all of them.
+    if len(blocks) < 100:
+        # A lookup of the few blocks set takes less room than all of them.
         lists = F.create_map(*[F.lit(v) for pair in sorted(blocks.items()) for v in pair])
         word = F.try_element_at(lists, _block(key, block_bits))
     else:
-        words = F.array(*[F.lit(blocks.get(i, 0)) for i in range(1 << block_bits)])
-        word = F.get(words, _block(key, block_bits))
+        # One literal, which Spark folds to an array once, not one for each block.
+        words = F.lit(" ".join(str(blocks.get(i, 0)) for i in range(1 << block_bits)))
+        word = F.get(F.split(words, " ").cast("array<bigint>"), _block(key, block_bits))
     mask = _mask(key)
     return F.coalesce(word.bitwiseAND(mask) == mask, F.lit(False))
 
@@ -94,15 +102,18 @@ def judge_urls(
     id_column: str = "page_id",
     url_column: str = "url",
     default: str = "allow",
-    block_bits: int = BLOCK_BITS,
+    block_bits: int | None = None,
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict`` for every row of ``pages``.
 
     ``rules``: ``rule, host, path, verdict``. The list may be long: it is joined
-    by equality, and only the filter, of a fixed size, goes to every task.
+    by equality, and only the filter goes to every task. Its size follows the
+    number of rules, up to a bound, unless ``block_bits`` says otherwise.
     """
     rules = rules.select("rule", "host", "path", "verdict").distinct()
     keyed = rules.withColumn("key", F.concat_ws(SEPARATOR, "host", "path"))
+    if block_bits is None:
+        block_bits = block_bits_for(keyed.count())
     blocks = bloom_blocks(keyed, block_bits)
     lengths = [r[0] for r in rules.select(F.length("path")).distinct().collect()]
     url = F.col(url_column)

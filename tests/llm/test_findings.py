@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from lanewright.llm import chat_quotes, decontaminate, ngram_join, toxicity
+from lanewright.llm import chat_quotes, decontaminate, ngram_join, toxicity, url_filter
 
 
 @pytest.fixture(scope="module")
@@ -136,3 +137,25 @@ def test_leaks_by_brute_force(smallest):
                 want.add((r.doc_id, item, covered))
     found = decontaminate.leaks(*smallest).collect()
     assert want and {(r.doc_id, r.item_id, r.covered_words) for r in found} == want
+
+
+def test_a_long_list_of_urls_has_a_filter_of_its_size(spark):
+    assert [url_filter.block_bits_for(n) for n in (0, 5, 65_536, 65_537, 10**6, 10**9)] == [14, 14, 14, 15, 18, 18]
+    n = 150_000
+    key = F.col("id").cast("string")
+    rules = spark.range(n).select(
+        F.concat(F.lit("s"), key, F.lit(".org/a/")).alias("rule"),
+        F.concat(F.lit("s"), key, F.lit(".org")).alias("host"),
+        F.lit("/a/").alias("path"),
+        F.lit("block").alias("verdict"),
+    )
+    url = F.concat(F.lit("http://W.s"), (F.col("id") * 11).cast("string"), F.lit(".org/a/x"))
+    pages = spark.range(40_000).select(F.col("id").alias("page_id"), url.alias("url"))
+    judged = url_filter.judge_urls(pages, rules)
+    wrong = judged.filter((F.col("page_id") * 11 < n) != F.coalesce(F.col("verdict") == "block", F.lit(False)))
+    assert judged.count() == 40_000 and wrong.count() == 0
+    named = F.concat(F.lit("s"), (F.col("page_id") * 11).cast("string"), F.lit(".org/a/"))
+    assert judged.filter(F.col("rule") == named).count() == len(range(0, n, 11))
+    blocks = url_filter.bloom_blocks(rules.select(F.concat_ws(url_filter.SEPARATOR, "host", "path").alias("key")), 16)
+    others = spark.range(20_000).select(F.concat(F.lit("none"), key).alias("key"))
+    assert others.filter(url_filter._might_contain(F.col("key"), blocks, 16)).count() < 400
