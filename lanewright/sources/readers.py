@@ -85,18 +85,21 @@ def read_side_input(
     fmt: str = "csv",
     headers: Mapping[str, str] | None = None,
     list_unreadable: bool = False,
+    more: str | None = None,
 ) -> DataFrame:
     """A hand-kept table, as CSV (``fmt="csv"``) or as a typed file format.
 
     CSV is read as text with a declared schema. Lines above the header and the
     header itself are skipped by position. ``headers`` adds or overrides header
-    texts of ``spec.columns``. Numbers that cannot be read become null; with
+    texts of ``spec.columns``. ``more`` is a folder of further CSV files of the same
+    columns without a header, for sheets too large for one file: a task reads a
+    file, since quoted cells may hold line breaks. Numbers that cannot be read become null; with
     ``list_unreadable`` they are listed in the column ``UNREADABLE``, which the
     gate reports.
     """
     columns = {**spec.columns, **(headers or {})}
     if fmt == "csv":
-        raw = _read_csv_with_offset(spark, path, spec.header_row).dropna("all")
+        raw = _read_csv_with_offset(spark, path, spec.header_row, more).dropna("all")
     else:
         raw = spark.read.format(fmt).load(path)
     return typed_side_input(raw, spec, columns, list_unreadable)
@@ -135,8 +138,10 @@ def typed_side_input(
 HEADER_LINES = 200  # lines looked at for the header
 
 
-def _read_csv_with_offset(spark: SparkSession, path: str, header_row: int) -> DataFrame:
-    """One file, read as text by position.
+def _read_csv_with_offset(
+    spark: SparkSession, path: str, header_row: int, more: str | None = None
+) -> DataFrame:
+    """One file, read as text by position, and the rows of the files in ``more``.
 
     Rows up to the header are left out by their place in the file, so a row that
     repeats one of them stays. Blank header cells become placeholder columns, so
@@ -154,7 +159,10 @@ def _read_csv_with_offset(spark: SparkSession, path: str, header_row: int) -> Da
     cells = [c.strip().lstrip("\ufeff") for c in rows[header_row]]
     names = [c or f"__blank_{i}" for i, c in enumerate(cells)]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    raw = spark.read.schema(schema).csv(path, header=False, multiLine=True, quote='"', escape='"')
-    body = raw.withColumn("__place", F.monotonically_increasing_id())
+    form = {"header": False, "multiLine": True, "quote": '"', "escape": '"'}
+    body = spark.read.schema(schema).csv(path, **form)
+    body = body.withColumn("__place", F.monotonically_increasing_id())
     body = body.filter(F.col("__place") > place).drop("__place")
+    if more is not None:
+        body = body.unionByName(spark.read.schema(schema).csv(more, **form))
     return body.select(*[blank_to_null(F.col(f"`{n}`")).alias(n) for n, c in zip(names, cells) if c])

@@ -6,6 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from lanewright.catalog.queries import Inputs, _kept_as_csv
 from lanewright.sources import readers, staging
 from lanewright.specs import SIDE_INPUTS
 
@@ -86,3 +87,32 @@ def test_failed_publish_leaves_the_old_snapshot(spark, rows, tmp_path):
 def test_database_read_must_be_partitioned(spark):
     with pytest.raises(ValueError, match="customers"):
         readers.read_model_jdbc(spark, "jdbc:x", ["customers", "periods"], partitioning={})
+
+
+def test_rows_of_a_side_input_in_further_files(spark, rows, tmp_path):
+    spec = SIDE_INPUTS["rfq_rates"]
+    named = {new: old for old, new in spec.columns.items()}
+    notes = "".join(f"note {k}\n" for k in range(spec.header_row))
+    header = ",".join(f'"{named[c]}"' for c in ("lane_name", "rfqrate"))
+    (tmp_path / "top.csv").write_text(f'{notes}{header}\n"A to B","1"\n')
+    folder = tmp_path / "rows"
+    folder.mkdir()
+    (folder / "part-0.csv").write_text('"C to\nD","2.5"\n"say ""E""","x"\n')
+    (folder / "part-1.csv").write_text(f'{header}\n"F to G",""\n')
+    got = readers.read_side_input(spark, str(tmp_path / "top.csv"), spec, more=str(folder))
+    assert rows(got, "lane_name", "rfqrate") == sorted(
+        [("A to B", 1.0), ("C to\nD", 2.5), ('say "E"', None), (named["lane_name"], None), ("F to G", None)],
+        key=repr,
+    )
+
+
+def test_no_task_writes_or_reads_a_whole_sheet(spark, sf_dir):
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        with staging.Stage(spark) as stage:
+            read = _kept_as_csv(Inputs(spark, sf_dir), stage, "depot_assignments")
+            assert len(read.inputFiles()) > 2
+    finally:
+        spark.conf.set(setting, before)
