@@ -33,6 +33,8 @@ from lanewright.llm.common import CACHE_WORDS, text_chunks
 _META = "▁"
 _NONE = np.int64(1) << 40
 _SLOT_BITS = 20
+# Bytes of words and their ids kept by a task before they become the older half.
+CACHE_BYTES = 8_000_000
 _WORD = re.compile(f"{_META}*[^{_META}]+|{_META}+")
 
 
@@ -62,10 +64,12 @@ class PieceModel:
         self._build_pairs()
         if _META not in self.ids:
             raise ValueError("the model has no piece for white space")
-        # Words to their ids and their decoded text. A full memory becomes the older half;
-        # what comes again moves back.
-        self.known: dict[str, tuple[bytes, str]] = {}
-        self.older: dict[str, tuple[bytes, str]] = {}
+        # Words to their ids, and of words that decode to another text that text. A full
+        # memory becomes the older half; what comes again moves back.
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.changed: dict[str, str] = {}
+        self.size = 0
 
     def _build_pairs(self) -> None:
         """Every way to put a piece together from two symbols.
@@ -191,17 +195,24 @@ class PieceModel:
                         raw = chr(s - base).encode("utf-8", "replace")
                         own.extend(self.byte_id.get(c, self.unknown) for c in raw)
                 ids, data = own, np.array(own, "<u4").tobytes()
-            self.known[word] = (data, self._text(ids))
+            self.known[word] = data
+            self.size += len(word) + len(data)
+            text = self._text(ids)
+            if text != word.replace(_META, " "):
+                self.changed[word] = text
             a = b
 
     def _words(self, texts: list[str | None]) -> list[list[str]]:
         """Words of each text, all of them known."""
-        if len(self.known) >= CACHE_WORDS:
-            self.known, self.older = {}, self.known
+        if len(self.known) >= CACHE_WORDS // 2 or self.size >= CACHE_BYTES:
+            self.known, self.older, self.size = {}, self.known, 0
+            self.changed = {w: t for w, t in self.changed.items() if w in self.older}
         split = [_WORD.findall(_META + t.replace(" ", _META)) if t else [] for t in texts]
         missing = {w for words in split for w in words} - self.known.keys()
         again = missing & self.older.keys()
-        self.known.update((w, self.older[w]) for w in again)
+        for w in again:
+            data = self.known[w] = self.older.pop(w)
+            self.size += len(w) + len(data)
         new = list(missing - again)
         at = size = 0
         for k, w in enumerate(new, 1):
@@ -219,11 +230,12 @@ class PieceModel:
         """
         begin, end = np.array([self.begin], "<u4").tobytes(), np.array([self.end], "<u4").tobytes()
         split = self._words(texts)
-        get, out = self.known.__getitem__, []
+        get, changed, out = self.known.__getitem__, self.changed, []
         for words in split:
-            found = list(map(get, words))
-            ids = np.frombuffer(begin + b"".join([f[0] for f in found]) + end, "<u4")
-            out.append((ids, "".join([f[1] for f in found])[1:]))
+            ids = np.frombuffer(begin + b"".join(map(get, words)) + end, "<u4")
+            if not changed.keys().isdisjoint(words):
+                words = [changed.get(w, w) for w in words]
+            out.append((ids, "".join(words).replace(_META, " ")[1:]))
         return out
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
@@ -232,7 +244,7 @@ class PieceModel:
         split = self._words(texts)
         get = self.known.__getitem__
         return [
-            np.frombuffer(begin + b"".join([get(w)[0] for w in words]) + end, "<u4") for words in split
+            np.frombuffer(begin + b"".join(map(get, words)) + end, "<u4") for words in split
         ]
 
     def decode(self, ids: np.ndarray) -> str:
