@@ -30,6 +30,9 @@ def test_equal_to_lanes_of_two_passes(spark, rows, places, windows, least):
     assert dict(ours.dtypes) == dict(theirs.dtypes)
     found = rows(ours, *theirs.columns)
     assert found and found == rows(theirs)
+    if least == (100.0, 0) and places in (MANY, TWINS):
+        apart = history.typed_lanes(*given, days, months, *least, apart=True)
+        assert found == rows(apart, *theirs.columns)
 
 
 def test_shipments_are_read_once(spark, sf_dir):
